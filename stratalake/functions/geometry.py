@@ -99,7 +99,8 @@ def without_repeats(path: Column) -> Column:
 def path_segments(path: Column) -> Column:
     """array<struct<a, b>> of consecutive vertex pairs."""
     n = F.greatest(F.size(path) - 1, F.lit(0))
-    return F.arrays_zip(F.slice(path, F.lit(1), n).alias("a"), F.slice(path, F.lit(2), n).alias("b"))
+    return F.zip_with(F.slice(path, F.lit(1), n), F.slice(path, F.lit(2), n),
+                      lambda a, b: F.named_struct(F.lit("a"), a, F.lit("b"), b))
 
 
 def ring_signed_area(path: Column) -> Column:
@@ -146,16 +147,22 @@ def explode_vertices(df: DataFrame, keep: list[str], g: str = "geometry") -> Dat
 
 
 def explode_segments(df: DataFrame, keep: list[str], g: str = "geometry") -> DataFrame:
-    """View ``keep..., part, ring, i, n, x1, y1, x2, y2`` without zero-length segments.
+    """View ``keep..., cell, part, ring, i, n, x1, y1, x2, y2`` without zero-length segments.
 
-    ``i`` counts segments along the path and ``n`` is their number.  A path stored in several rows
-    (see ``operators.layers.assemble_paths``) brings ``seg_base`` and ``seg_total`` columns, which
-    make ``i`` and ``n`` those of the whole path.
+    ``i`` counts segments along the path and ``n`` is their number; ``cell`` is twice the feature's
+    mean segment length, the grid size its segments are joined on.  A path stored in several rows
+    (see ``operators.layers.assemble_paths``) brings ``seg_base``, ``seg_total`` and ``seg_cell``
+    columns, which make ``i``, ``n`` and ``cell`` those of the whole path.
     """
     based = "seg_base" in df.columns
+    lengths = F.flatten(F.transform(F.flatten(F.col(g)["parts"]), lambda p: F.transform(
+        path_segments(p), lambda s: F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]))))
+    total = F.aggregate(lengths, F.lit(0.0), lambda a, v: a + v)
+    cell = F.coalesce(F.nullif(total * 2 / F.greatest(F.size(lengths), F.lit(1)), F.lit(0.0)), F.lit(1.0))
+    cell = F.coalesce(F.col("seg_cell"), cell) if based else cell
     extra = ["seg_base", "seg_total"] if based else []
-    out = df.select(*keep, *[c for c in extra if c not in keep], F.posexplode(F.col(g)["parts"]).alias("part", "_rings"))
-    extra = [c for c in extra if c not in keep]
+    out = df.select(*keep, *extra, cell.alias("cell"), F.posexplode(F.col(g)["parts"]).alias("part", "_rings"))
+    keep = [*keep, "cell"]
     out = out.select(*keep, *extra, "part", F.posexplode("_rings").alias("ring", "_path"))
     path = F.col("_path") if based else without_repeats(F.col("_path"))
     out = out.select(*keep, *extra, "part", "ring", path_segments(path).alias("_segs"))
@@ -183,3 +190,12 @@ def on_segment(x1, y1, x2, y2, px, py) -> Column:
     return ((orient(x1, y1, x2, y2, px, py) == 0)
             & px.between(F.least(x1, x2), F.greatest(x1, x2))
             & py.between(F.least(y1, y2), F.greatest(y1, y2)))
+
+
+def near_segment(x1, y1, x2, y2, px, py) -> Column:
+    """On the segment within rounding of the coordinates, for locations that were computed."""
+    slack = 1e-13 * (F.abs(px) + F.abs(py)) * (F.abs(x2 - x1) + F.abs(y2 - y1))
+    pad = 1e-14 * (F.abs(px) + F.abs(py))
+    return ((F.abs(orient(x1, y1, x2, y2, px, py)) <= slack)
+            & px.between(F.least(x1, x2) - pad, F.greatest(x1, x2) + pad)
+            & py.between(F.least(y1, y2) - pad, F.greatest(y1, y2) + pad))

@@ -67,7 +67,8 @@ def stack_layers(layers: dict[str, Layer]) -> DataFrame:
 
 
 def path_vertices(df: DataFrame, key: str, order: list[str], x: str = "x", y: str = "y") -> DataFrame:
-    """Number the vertices of each path after dropping consecutive repeats: ``key, i, n, x, y``.
+    """Number the vertices of each path after dropping consecutive repeats: ``key, i, n, step, x, y``
+    with the mean distance between neighbours as ``step``.
 
     All windows share one partitioning and order, so this is one shuffle; the sort and the window
     frames spill to disk, so a very long path costs time but not memory.
@@ -76,16 +77,18 @@ def path_vertices(df: DataFrame, key: str, order: list[str], x: str = "x", y: st
     whole = Window.partitionBy(key)
     kept = (df.withColumns({"_px": F.lag(x).over(along), "_py": F.lag(y).over(along)})
               .filter(F.col("_px").isNull() | (F.col("_px") != F.col(x)) | (F.col("_py") != F.col(y))))
+    step = F.avg(F.hypot(F.col(x) - F.col("_px"), F.col(y) - F.col("_py"))).over(whole)
     return kept.select(key, (F.row_number().over(along) - 1).cast("long").alias("i"),
-                       F.count(F.lit(1)).over(whole).alias("n"), F.col(x).alias("x"), F.col(y).alias("y"))
+                       F.count(F.lit(1)).over(whole).alias("n"), step.alias("step"),
+                       F.col(x).alias("x"), F.col(y).alias("y"))
 
 
 def assemble_paths(vertices: DataFrame, key: str = "fid", rows: int = PATH_ROWS) -> DataFrame:
-    """LineString rows from numbered vertices (``key, i, n, x, y``).
+    """LineString rows from numbered vertices (``key, i, n, step, x, y``).
 
     A path is cut every ``rows`` segments into rows ``key, seq`` that share their joint vertex, so no
-    group holds more than ``rows + 1`` vertices however long one path is.  ``seg_base`` and
-    ``seg_total`` place the segments of a row within the whole path.
+    group holds more than ``rows + 1`` vertices however long one path is.  ``seg_base``,
+    ``seg_total`` and ``seg_cell`` place the segments of a row within the whole path.
     """
     seq = F.floor(F.col("i") / rows).cast("long")
     joint = (F.col("i") % rows == 0) & (F.col("i") > 0)
@@ -93,10 +96,12 @@ def assemble_paths(vertices: DataFrame, key: str = "fid", rows: int = PATH_ROWS)
             .when(joint, F.array(seq - 1, seq)).otherwise(F.array(seq))
     out = (vertices.withColumn("seq", F.explode(seqs))
            .groupBy(key, "seq")
-           .agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("_v"), F.max("n").alias("_n")))
+           .agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("_v"), F.max("n").alias("_n"),
+                F.max("step").alias("_step")))
     path = F.transform("_v", lambda v: G.vertex(v["x"], v["y"]))
     return out.select(key, "seq", (F.col("seq") * rows).alias("seg_base"),
-                      (F.col("_n") - 1).alias("seg_total"), G.linestring(path).alias("geometry"))
+                      (F.col("_n") - 1).alias("seg_total"),
+                      (F.col("_step") * 2).alias("seg_cell"), G.linestring(path).alias("geometry"))
 
 
 def geometry_kinds(layer: Layer) -> DataFrame:

@@ -10,7 +10,7 @@ Several mask features act as one: a location is inside when it is inside any of
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from stratalake.operators.joins import sized_join
 from stratalake.operators.layers import Layer
 
 MAX_BANDS = 1 << 20
+EDGES_PER_BAND = 8
 _EDGE_BYTES = 64
 
 
@@ -35,11 +36,16 @@ class Mask:
     bounds: tuple[float, float, float, float] | None
     n_bands: int
     band_bytes: int
+    n_features: int = 1
 
     @property
     def height(self) -> float:
         return (self.bounds[3] - self.bounds[1]) / self.n_bands or 1.0
 
+    def dissolved(self) -> Mask:
+        """The same area as one feature."""
+        return self if self.n_features <= 1 else _dissolve(self)
+
     def band_of(self, y: Column) -> Column:
         """Band holding y; the top edge belongs to the last band."""
         raw = F.floor((y - F.lit(self.bounds[1])) / F.lit(self.height)).cast("long")
@@ -75,30 +81,71 @@ def build_mask(layer: Layer) -> Mask:
     stat = edges.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"),
                      F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                      F.max(F.greatest("y1", "y2")).alias("y1"),
-                     F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("climb")).first()
+                     F.sum(F.abs(F.col("y2") - F.col("y1"))).alias("climb"),
+                     F.countDistinct("mid").alias("features")).first()
     if stat["n"] == 0:
         empty = edges.select(F.lit(0).cast("long").alias("band"), F.array(F.struct(
             "mid", F.array(F.struct("x1", "y1", "x2", "y2")).alias("edges"))).alias("groups"))
         return Mask(empty, edges, layer.epsg, 0, None, 1, 0)
     bounds = (stat["x0"], stat["y0"], stat["x1"], stat["y1"])
-    n_bands = max(1, min(2 * stat["n"], MAX_BANDS))
+    n_bands = max(1, min(stat["n"] // EDGES_PER_BAND, MAX_BANDS))
     height = (bounds[3] - bounds[1]) / n_bands or 1.0
     # Every edge is listed once per band it meets, so this bounds the size of the index.
-    listed = stat["n"] * 3 + int(stat["climb"] / height)
-    mask = Mask(None, edges, layer.epsg, stat["n"], bounds, n_bands, listed * _EDGE_BYTES)
+    listed = (stat["n"] * 3 + int(stat["climb"] / height)) * _EDGE_BYTES
+    mask = Mask(None, edges, layer.epsg, stat["n"], bounds, n_bands, listed, stat["features"])
+    return replace(mask, bands=_index(edges, mask))
+
+
+def _index(edges: DataFrame, mask: Mask) -> DataFrame:
+    """Edge lists per band; an edge is listed in a neighbouring band when it reaches its limit."""
+    height, n_bands = mask.height, mask.n_bands
     low = mask.band_of(F.least("y1", "y2")) - 1
     high = mask.band_of(F.greatest("y1", "y2")) + 1
     placed = edges.withColumn("band", F.explode(F.sequence(
         F.greatest(low, F.lit(0)), F.least(high, F.lit(n_bands - 1)))))
-    # Keep an edge in the neighbouring band only when it reaches (up to rounding) into it.
     slack = height * 1e-6
-    floor_y = F.lit(bounds[1]) + F.col("band") * F.lit(height)
+    floor_y = F.lit(mask.bounds[1]) + F.col("band") * F.lit(height)
     placed = placed.filter((F.greatest("y1", "y2") >= floor_y - slack)
                            & (F.least("y1", "y2") <= floor_y + F.lit(height + slack)))
-    bands = (placed.groupBy("band", "mid")
-             .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-             .groupBy("band").agg(F.collect_list(F.struct("mid", "edges")).alias("groups")))
-    return Mask(bands, edges, layer.epsg, stat["n"], bounds, n_bands, listed * _EDGE_BYTES)
+    return (placed.groupBy("band", "mid")
+            .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+            .groupBy("band").agg(F.collect_list(F.struct("mid", "edges")).alias("groups")))
+
+
+def _dissolve(mask: Mask) -> Mask:
+    """Outline of the union of the mask's features, as one group.
+
+    Edges are cut where features meet; a piece inside another feature is dropped, a shared border is
+    kept once when both interiors lie on the same side and dropped otherwise.
+    """
+    from stratalake.operators.contacts import self_contacts
+    from stratalake.operators.repair import split_segments
+    own = F.xxhash64("mid")
+    length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    size = mask.edges.agg(F.avg(length) * 2).first()[0]
+    segments = mask.edges.select(
+        F.lit(0).alias("one"), F.lit(size).alias("cell"), own.alias("part"), F.lit(0).alias("ring"),
+        F.xxhash64("x1", "y1", "x2", "y2").alias("i"), F.lit(0).cast("long").alias("n"), "x1", "y1", "x2", "y2")
+    pieces = split_segments(segments, self_contacts(segments, "one"), "one")
+    pieces = pieces.withColumns({"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2})
+    pieces = pieces.withColumn("band", mask.band_of(F.col("my")))
+    mx, my = F.col("mx"), F.col("my")
+
+    def hidden(g):
+        other = F.xxhash64(g["mid"])
+        edges = g["edges"]
+        along = lambda e: G.near_segment(e["x1"], e["y1"], e["x2"], e["y2"], mx, my)
+        forward = lambda e: ((e["x2"] - e["x1"]) * (F.col("bx") - F.col("ax"))
+                             + (e["y2"] - e["y1"]) * (F.col("by") - F.col("ay"))) > 0
+        odd = F.aggregate(edges, F.lit(False), lambda acc, e: acc != G.crosses_upward_ray(
+            e["x1"], e["y1"], e["x2"], e["y2"], mx, my))
+        on = F.exists(edges, along)
+        same = F.exists(edges, lambda e: along(e) & forward(e))
+        return (other != F.col("part")) & F.when(on, ~same | (other < F.col("part"))).otherwise(odd)
+    outline = (join_bands(pieces, mask).filter(~F.exists("groups", hidden))
+               .select(F.struct(F.lit(0).cast("long").alias("fid"), F.lit(0).alias("part")).alias("mid"),
+                       F.col("ax").alias("x1"), F.col("ay").alias("y1"), F.col("bx").alias("x2"), F.col("by").alias("y2")))
+    return replace(mask, edges=outline, bands=_index(outline, mask), n_features=1)
 
 
 def covered(groups: Column, x: Column, y: Column) -> Column:

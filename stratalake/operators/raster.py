@@ -71,16 +71,15 @@ def from_pixels(pixels: DataFrame, meta: RasterMeta) -> Raster:
     keyed = pixels.select(
         F.col("band").cast("int").alias("band"), F.floor(F.col("r") / TILE).alias("tile_r"),
         F.floor(F.col("c") / TILE).alias("tile_c"), "r", "c", F.col("v").cast("double").alias("v"))
-    tiles = (keyed.groupBy("band", *TILE_KEY)
-             .agg(F.array_sort(F.collect_list(F.struct("r", "c", "v"))).alias("_p"))
+    place = (F.col("r") - F.col("tile_r") * TILE) * w + F.col("c") - F.col("tile_c") * TILE
+    tiles = (keyed.select("band", *TILE_KEY, F.struct(place.cast("int").alias("k"), "v").alias("_p"))
+             .groupBy("band", *TILE_KEY).agg(F.collect_list("_p").alias("_p"))
              .select("band", *TILE_KEY, (F.col("tile_r") * TILE).alias("r0"),
                      (F.col("tile_c") * TILE).alias("c0"), h.alias("h"), w.alias("w"), "_p"))
-    place = lambda p: ((p["r"] - F.col("r0")) * F.col("w") + p["c"] - F.col("c0")).cast("int")
-    sparse = F.map_from_entries(F.transform("_p", lambda p: F.struct(place(p), p["v"])))
-    filled = F.transform(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1), lambda k: F.try_element_at(sparse, k))
-    full = F.size("_p") == F.col("h") * F.col("w")
-    return Raster(meta, tiles.withColumn(
-        "data", F.when(full, F.col("_p").getField("v")).otherwise(filled)).drop("_p"))
+    absent = F.array_except(F.sequence(F.lit(0), F.col("h") * F.col("w") - 1), F.col("_p").getField("k"))
+    blank = F.transform(absent, lambda k: F.named_struct(F.lit("k"), k, F.lit("v"), F.lit(None).cast("double")))
+    full = F.when(F.size("_p") < F.col("h") * F.col("w"), F.concat("_p", blank)).otherwise(F.col("_p"))
+    return Raster(meta, tiles.withColumn("data", F.array_sort(full).getField("v")).drop("_p"))
 
 
 def pixels(raster: Raster, null_nodata: bool = False) -> DataFrame:
