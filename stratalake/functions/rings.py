@@ -41,6 +41,13 @@ def _loops(walk):
     return loops
 
 
+def _straight(a, v, b):
+    """Is v just a stop on the way from a to b?"""
+    ux, uy, wx, wy = v[0] - a[0], v[1] - a[1], b[0] - v[0], b[1] - v[1]
+    return (abs(ux * wy - uy * wx) <= 1e-9 * math.hypot(ux, uy) * math.hypot(wx, wy)
+            and ux * wx + uy * wy > 0)
+
+
 def _area(ring):
     x, y = ring[:, 0] - ring[0, 0], ring[:, 1] - ring[0, 1]
     return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1])) / 2
@@ -77,7 +84,8 @@ def polygon_parts(ax, ay, bx, by, removable) -> list[list[np.ndarray]]:
             if e == first:
                 break
         for loop in _loops(walk):
-            ring = [v for v, cut in loop if not cut]
+            ring = [v for k, (v, cut) in enumerate(loop)
+                    if not (cut and _straight(loop[k - 1][0], v, loop[(k + 1) % len(loop)][0]))]
             if len(ring) < 3:
                 continue
             ring = np.array(ring + ring[:1], dtype=float)
