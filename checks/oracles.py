@@ -118,8 +118,10 @@ oracle("q_line_self_crossing", _LINE, """select l.fid, l.fid not in (select fid
 _NODE = {
     **_SEG,
     # Every place where two segments meet, with the exact vertex where it is one.
-    "spot": """select fid, i, j, case when d3 = 0 then x1 when d4 = 0 then x2 when d1 = 0 then u1 when d2 = 0 then u2 else x1 + d3 / (d3 - d4) * (x2 - x1) end as px,
-      case when d3 = 0 then y1 when d4 = 0 then y2 when d1 = 0 then v1 when d2 = 0 then v2 else y1 + d3 / (d3 - d4) * (y2 - y1) end as py
+    "spot": """select fid, i, j, case when d3 = 0 then x1 when d4 = 0 then x2 when d1 = 0 then u1 when d2 = 0 then u2
+        else floor((x1 + d3 / (d3 - d4) * (x2 - x1)) * 1e9 + 0.5e0) / 1e9 end as px,
+      case when d3 = 0 then y1 when d4 = 0 then y2 when d1 = 0 then v1 when d2 = 0 then v2
+        else floor((y1 + d3 / (d3 - d4) * (y2 - y1)) * 1e9 + 0.5e0) / 1e9 end as py
       from meet where not (d1 = 0 and d2 = 0)
       union all select fid, i, j, u1, v1 from meet where d1 = 0 and d2 = 0 and s1 between 0 and 1
       union all select fid, i, j, u2, v2 from meet where d1 = 0 and d2 = 0 and s2 between 0 and 1

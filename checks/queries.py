@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from checks import sample_layers as S
 from stratalake.functions import geometry as G
-from stratalake.functions.projection import project_columns, project_geometry
 from stratalake.operators import audit, clip, crs, layers, mask, noding, qa, raster, repair, schema, terrain, validity, warp
 from stratalake.operators.layers import Layer
 from stratalake.plans.config import RunConfig, SpatialSettings, TabularSource, VectorSource
@@ -76,7 +75,11 @@ def q_kml_read(spark, sf):
     text = F.concat(F.lit("<Placemark><name>"), F.col("fid").cast("string"),
                     F.lit("</name><Polygon><outerBoundaryIs><LinearRing><coordinates>"), ring,
                     F.lit("</coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark>"))
-    S.polygons(spark, sf).df.filter(G.is_present("geometry")).select(text.alias("value")).write.text(path)
+    # One document, and so one file, per thousand placemarks.
+    marks = S.polygons(spark, sf).df.filter(G.is_present("geometry")).select(F.floor(F.col("fid") / 1000).alias("doc"), text.alias("t"))
+    docs = marks.groupBy("doc").agg(F.concat(F.lit("<kml><Document>"), F.array_join(F.collect_list("t"), "\n"),
+                                             F.lit("</Document></kml>")).alias("value"))
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
     got = readers.read_kml(spark, path, "outlines").df
     flat = G.explode_vertices(got.withColumn("k", F.col("Name").cast("long")), ["k"])
     return flat.groupBy(F.col("k").alias("fid")).agg(F.count(F.lit(1)).alias("n"), F.sum(rnd("x")).alias("x6"),
@@ -166,7 +169,7 @@ def q_reproject_wgs84_to_utm(spark, sf):
 
 @query
 def q_reproject_webmercator(spark, sf):
-    out = crs.reproject(layers.Layer("p", S.polygons(spark, sf).df.filter(G.is_present("geometry"))), 3857).df
+    out = crs.reproject(validity.drop_missing(S.polygons(spark, sf)), 3857).df
     return G.explode_vertices(out, ["fid"]).select("fid", F.col("i").cast("long").alias("i"),
                                                    rnd("x", 1e3).alias("x3"), rnd("y", 1e3).alias("y3"))
 
@@ -290,7 +293,7 @@ def q_clip_polygons_multimask(spark, sf):
 
 @query
 def q_clip_report(spark, sf):
-    return clip.clip_report(S.samples(spark, sf), mask.build_mask(S.study_area(spark)), {"point"})
+    return clip.clip_report(S.samples(spark, sf), mask.build_mask(S.study_area(spark)))
 
 
 @query

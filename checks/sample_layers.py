@@ -92,7 +92,8 @@ UTM_RING = [(430000.0, 3890000.0), (560000.0, 3880000.0), (540000.0, 3960000.0),
 def polygon_layer(spark: SparkSession, name: str, rings: list, epsg: int = 4326) -> Layer:
     """Small hand-written polygons, one feature per ring."""
     rows = [(i, ("Polygon", [[[(float(x), float(y)) for x, y in ring]]])) for i, ring in enumerate(rings)]
-    return Layer(name, spark.createDataFrame(rows, f"fid bigint, geometry {G.GEOMETRY}"), epsg)
+    return Layer(name, spark.createDataFrame(rows, f"fid bigint, geometry {G.GEOMETRY}"), epsg,
+                 kinds=frozenset({"polygon"}))
 
 
 def study_area(spark: SparkSession) -> Layer:
@@ -117,7 +118,7 @@ def lines(spark: SparkSession, sf: str, scaled: bool = False) -> Layer:
     """One line per order; ``scaled`` places it in the study area's degree square."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     numbered = path_vertices(line_table(spark, sf, scaled), "fid", order)
-    return Layer("lines", assemble_paths(numbered), 4326, ("fid", "seq"))
+    return Layer("lines", assemble_paths(numbered), 4326, ("fid", "seq"), frozenset({"line"}))
 
 
 def polygons(spark: SparkSession, sf: str) -> Layer:
@@ -132,7 +133,7 @@ def polygons(spark: SparkSession, sf: str) -> Layer:
     df = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("fid"), F.col("c_mktsegment").alias("segment"),
         F.when(F.col("c_custkey") % 50 != 7, G.polygon(shape)).alias("geometry"))
-    return Layer("polygons", df, 4326)
+    return Layer("polygons", df, 4326, kinds=frozenset({"polygon"}))
 
 
 def messy(spark: SparkSession, sf: str) -> DataFrame:

@@ -135,7 +135,7 @@ def _candidates(layer: Layer, mask: Mask, types: tuple[str, ...]) -> DataFrame:
 
 
 def line_pieces(layer: Layer, mask: Mask) -> DataFrame:
-    """Stretches of lines inside the mask: ``key.., part, i, t0, ax, ay, bx, by``.  No shuffle."""
+    """Stretches of lines inside the mask: ``key.., part, i, t0, t1, ax, ay, bx, by``.  No shuffle."""
     keys = list(layer.key)
     lines = _candidates(layer, mask, G.LINES)
     segments = G.explode_segments(lines, keys).drop("n", "ring", "cell")
@@ -146,16 +146,18 @@ def line_pieces(layer: Layer, mask: Mask) -> DataFrame:
     inside = F.filter(cut, lambda p: _covered(
         F.col("groups"), (p["a"]["x"] + p["b"]["x"]) / 2, (p["a"]["y"] + p["b"]["y"]) / 2))
     return banded.select(*keys, "part", "i", F.inline(inside)).select(
-        *keys, "part", "i", F.col("a.t").alias("t0"), F.col("a.x").alias("ax"), F.col("a.y").alias("ay"),
-        F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
+        *keys, "part", "i", F.col("a.t").alias("t0"), F.col("b.t").alias("t1"),
+        F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
 
 
 def clip_lines(layer: Layer, mask: Mask) -> Layer:
     """Lines cut to the mask; a line may become several parts, lines outside disappear."""
     keys = list(layer.key)
     along = Window.partitionBy(*keys).orderBy("part", "i", "t0")
-    joined = ((F.lag("part").over(along) == F.col("part")) & (F.lag("bx").over(along) == F.col("ax"))
-              & (F.lag("by").over(along) == F.col("ay")))
+    before = lambda c: F.lag(c).over(along)
+    onward = ((before("i") == F.col("i")) | ((before("i") == F.col("i") - 1) & (before("t1") == 1) & (F.col("t0") == 0)))
+    joined = ((before("part") == F.col("part")) & onward
+              & (before("bx") == F.col("ax")) & (before("by") == F.col("ay")))
     runs = line_pieces(layer, mask).withColumn("_new", (~F.coalesce(joined, F.lit(False))).cast("int"))
     runs = runs.withColumn("run", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
     # Within a run a piece that starts inside a segment only continues a straight line.
@@ -269,13 +271,14 @@ def clip_multipoints(layer: Layer, mask: Mask) -> Layer:
     return _rejoin(layer, members, keys)
 
 
-def clip_layer(layer: Layer, mask: Mask, kinds: set[str] | None = None) -> Layer:
-    """Clip every row by its own type.  ``kinds`` (point, line, polygon) leaves out types the layer is
-    known not to hold."""
+def clip_layer(layer: Layer, mask: Mask) -> Layer:
+    """Clip every row by its own type; kinds the layer is known not to hold are left out."""
     if mask.bounds is None:
         return layer.with_df(layer.df.filter(F.lit(False)))
     steps = {"point": (clip_points, clip_multipoints), "line": (clip_lines,), "polygon": (clip_polygons,)}
-    wanted = [step for kind, group in steps.items() if kinds is None or kind in kinds for step in group]
+    wanted = [step for kind, group in steps.items() if layer.may_hold(kind) for step in group]
+    if not wanted:
+        return layer.with_df(layer.df.filter(F.lit(False)))
     return layer.with_df(union_all([step(layer, mask).df for step in wanted]))
 
 
@@ -304,8 +307,8 @@ def classify(layer: Layer, mask: Mask) -> DataFrame:
     return base.unionByName(found).groupBy(*keys).agg(position.alias("position"))
 
 
-def clip_report(layer: Layer, mask: Mask, kinds: set[str] | None = None) -> DataFrame:
+def clip_report(layer: Layer, mask: Mask) -> DataFrame:
     """One row: feature counts before and after clipping."""
     before = layer.df.agg(F.count(F.lit(1)).alias("n_before"))
-    after = clip_layer(layer, mask, kinds).df.agg(F.count(F.lit(1)).alias("n_after"))
+    after = clip_layer(layer, mask).df.agg(F.count(F.lit(1)).alias("n_after"))
     return before.select(F.lit(layer.name).alias("layer"), "n_before", after.scalar().alias("n_after"))

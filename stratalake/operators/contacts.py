@@ -42,6 +42,13 @@ def _hit(kind, px, py, ta, tb) -> Column:
     return F.struct(kind.alias("kind"), px.alias("px"), py.alias("py"), ta.alias("ta"), tb.alias("tb"))
 
 
+def _snap(p: Column) -> Column:
+    """Computed crossings on a fixed fine grid (a nanodegree, or a micrometre for projected
+    coordinates), so that one place reached from several segment pairs is one vertex."""
+    scale = F.when(F.abs(p) < 1e6, 1e9).otherwise(1e6)
+    return F.floor(p * scale + 0.5) / scale
+
+
 def with_hits(pairs: DataFrame) -> DataFrame:
     """Meeting points ``kind, px, py, ta, tb`` of the segments in ``a_x1 .. a_y2`` and ``b_x1 .. b_y2``.
 
@@ -77,9 +84,9 @@ def with_hits(pairs: DataFrame) -> DataFrame:
         at_a = F.when(t == 0, _hit(kind, *a1, t, c("r1"))).when(t == 1, _hit(kind, *a2, t, c("r2")))
         return at_a.when(t == c("s1"), _hit(kind, *b1, t, F.lit(0.0))).otherwise(_hit(kind, *b2, t, F.lit(1.0)))
     px = (F.when(c("ta") == 0, a1[0]).when(c("ta") == 1, a2[0]).when(c("tb") == 0, b1[0])
-          .when(c("tb") == 1, b2[0]).otherwise(a1[0] + c("ta") * ux))
+          .when(c("tb") == 1, b2[0]).otherwise(_snap(a1[0] + c("ta") * ux)))
     py = (F.when(c("ta") == 0, a1[1]).when(c("ta") == 1, a2[1]).when(c("tb") == 0, b1[1])
-          .when(c("tb") == 1, b2[1]).otherwise(a1[1] + c("ta") * uy))
+          .when(c("tb") == 1, b2[1]).otherwise(_snap(a1[1] + c("ta") * uy)))
     inner = (c("ta") > 0) & (c("ta") < 1) & (c("tb") > 0) & (c("tb") < 1)
     kind = F.when(inner, "cross").otherwise("touch")
     hits = (F.when(c("flat") & (c("lo") < c("hi")), F.array(end(c("lo"), "overlap"), end(c("hi"), "overlap")))

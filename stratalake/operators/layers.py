@@ -15,16 +15,21 @@ PATH_ROWS = 65536
 
 @dataclass(frozen=True)
 class Layer:
-    """One vector layer. ``key`` names the columns that identify a row."""
+    """One vector layer. ``key`` names the columns that identify a row; ``kinds`` (point, line,
+    polygon) the kinds of geometry it holds, where known."""
 
     name: str
     df: DataFrame
     epsg: int | None = 4326
     key: tuple[str, ...] = ("fid",)
+    kinds: frozenset[str] | None = None
 
     def with_df(self, df: DataFrame) -> Layer:
         return replace(self, df=df)
 
+    def may_hold(self, kind: str) -> bool:
+        return self.kinds is None or kind in self.kinds
+
     @property
     def attributes(self) -> list[str]:
         return [c for c in self.df.columns if c != "geometry"]
@@ -32,7 +37,8 @@ class Layer:
 
 def point_layer(name: str, df: DataFrame, x: str, y: str, fid: str, epsg: int | None = 4326) -> Layer:
     """Points from two coordinate columns; a missing coordinate gives a NULL geometry."""
-    return Layer(name, df.withColumns({"fid": F.col(fid).cast("long"), "geometry": G.point(x, y)}), epsg)
+    return Layer(name, df.withColumns({"fid": F.col(fid).cast("long"), "geometry": G.point(x, y)}), epsg,
+                 kinds=frozenset({"point"}))
 
 
 def registry(*groups: dict[str, Layer]) -> dict[str, Layer]:
@@ -110,6 +116,17 @@ def geometry_kinds(layer: Layer) -> DataFrame:
     return layer.df.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def with_kinds(layers: dict[str, Layer]) -> dict[str, Layer]:
+    """Find out, in one action over all layers, which kinds those hold that do not say."""
+    unknown = {n: v for n, v in layers.items() if v.kinds is None}
+    if not unknown:
+        return layers
+    found = union_all([v.df.select(kind_of(F.col("geometry")).alias("kind")).distinct()
+                       .select(F.lit(n).alias("layer"), "kind") for n, v in unknown.items()]).collect()
+    return {n: v if v.kinds is not None else replace(v, kinds=frozenset(
+        r["kind"] for r in found if r["layer"] == n and r["kind"] != "missing")) for n, v in layers.items()}
+
+
 def kind_of(g: Column) -> Column:
     return (F.when(g["type"].isin(*G.POINTS), "point").when(g["type"].isin(*G.LINES), "line")
              .when(g["type"].isin(*G.POLYGONS), "polygon").otherwise("missing"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ def qa_layer(layer: Layer, project_epsg: int, min_rows: int = 1, max_rows: int |
     missing = [f for f in (required or []) if f not in layer.df.columns]
     low, high = n < min_rows, (n > max_rows) if max_rows is not None else F.lit(False)
     count = F.concat(F.lit("row count "), n.cast("string"))
-    percent = F.concat(F.format_number(rate * 100, "0.0"), F.lit("%"))
+    percent = F.format_string("%.1f%%", rate * 100)
     crs_ok = layer.epsg is not None and layer.epsg == project_epsg
     if layer.epsg is None:
         crs_text = "layer has no CRS set"
@@ -56,8 +58,8 @@ def qa_layer(layer: Layer, project_epsg: int, min_rows: int = 1, max_rows: int |
 
 def qa_report(layers: dict[str, Layer], project_epsg: int, **limits) -> DataFrame:
     """One row per layer and check, layers in order."""
-    reports = [qa_layer(layer, project_epsg, **limits).withColumn("_l", F.lit(k))
-               for k, layer in enumerate(layers.values())]
+    reports = [qa_layer(replace(layer, name=name), project_epsg, **limits).withColumn("_l", F.lit(k))
+               for k, (name, layer) in enumerate(layers.items())]
     return union_all(reports).orderBy("_l", "position").select("layer", "check", "passed", "message")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import geometry as G
 from stratalake.functions.rings import stitch_batches
 from stratalake.operators.contacts import self_contacts
-from stratalake.operators.layers import Layer, union_all
+from stratalake.operators.layers import Layer, union_all, with_kinds
 from stratalake.operators.lineage import materialize
 from stratalake.operators.noding import node_lines
 from stratalake.operators.validity import drop_missing, line_faults, validity_rate, with_validity
@@ -108,16 +108,13 @@ def repair_polygons(layer: Layer) -> Layer:
     return layer.with_df(out.select(*layer.df.columns))
 
 
-def repair_layer(layer: Layer, kinds: set[str] | None = None, drop_null: bool = True) -> Layer:
-    """Drop missing geometries, repair polygons, node self-crossing lines.
-
-    ``kinds`` (point, line, polygon), where the source declares them, leaves out steps that cannot
-    apply; without it every step looks at every row.
-    """
+def repair_layer(layer: Layer, drop_null: bool = True) -> Layer:
+    """Drop missing geometries, repair polygons, node self-crossing lines; steps for kinds the layer
+    is known not to hold are left out."""
     layer = drop_missing(layer) if drop_null else layer
-    if kinds is None or "polygon" in kinds:
+    if layer.may_hold("polygon"):
         layer = repair_polygons(layer)
-    if kinds is None or "line" in kinds:
+    if layer.may_hold("line"):
         layer = node_lines(layer)
     return layer
 
@@ -130,11 +127,12 @@ def repair_report(layer: Layer) -> DataFrame:
         F.count(F.lit(1)).alias("rows_before"),
         F.count_if(F.col("reason") == "Null geometry").alias("n_dropped"),
         F.count_if(~F.col("valid") & (F.col("reason") != "Null geometry")).alias("n_invalid"))
-    crossing = line_faults(present).agg(F.count_if("not simple").alias("n_crossing"))
+    crossing = (line_faults(present).agg(F.count_if(~F.col("simple")).alias("n_crossing")).scalar()
+                if layer.may_hold("line") else F.lit(0).cast("long"))
     after = validity_rate(repair_layer(layer))
     return before.select(
         F.lit(layer.name).alias("layer"), "rows_before", "n_dropped", "n_invalid",
-        crossing.scalar().alias("n_crossing"), after.select("rate").scalar().alias("rate_after"))
+        crossing.alias("n_crossing"), after.select("rate").scalar().alias("rate_after"))
 
 
 def check_validity_rates(layers: dict[str, Layer], threshold: float) -> DataFrame:
@@ -148,6 +146,7 @@ def repair_layers(layers: dict[str, Layer], auto_repair: bool = True, drop_null_
     """The repair stage over a layer set.  With ``check`` the gates run as one action for all layers."""
     if not layers:
         return {}
+    layers = with_kinds(layers)
     if not auto_repair:
         kept = {n: drop_missing(v) if drop_null_geometries else v for n, v in layers.items()}
         counts = union_all([validity_rate(v) for v in kept.values()]).filter("n_valid < n_rows").collect()
@@ -156,7 +155,10 @@ def repair_layers(layers: dict[str, Layer], auto_repair: bool = True, drop_null_
                 f"layer '{r['layer']}' has {r['n_rows'] - r['n_valid']} invalid geometries and auto_repair is off"
                 for r in counts))
         layers = kept
-    out = {n: repair_layer(v, None, drop_null_geometries) if auto_repair else node_lines(v) for n, v in layers.items()}
+    out = {n: repair_layer(v, drop_null_geometries) if auto_repair else node_lines(v) if v.may_hold("line") else v
+           for n, v in layers.items()}
+    # What was repaired or noded is read again by the gate and by the stages that follow.
+    out = {n: v if v.kinds == {"point"} else v.with_df(materialize(v.df)) for n, v in out.items()}
     if check:
         low = check_validity_rates(out, validity_threshold).filter("not passed").collect()
         if low:

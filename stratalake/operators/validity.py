@@ -96,6 +96,11 @@ def _contact_faults(polygons: DataFrame, key: str) -> DataFrame:
             .groupBy(key).agg(F.min("_f").alias("_fault")))
 
 
+def _reason_text(code: str) -> Column:
+    texts = F.array(*[F.lit(r) for r in REASONS])
+    return F.when(F.col(code).isNotNull(), F.element_at(texts, F.col(code) + 1))
+
+
 def with_validity(layer: Layer) -> DataFrame:
     """The layer with ``valid``, ``reason`` and the location ``reason_x, reason_y``.
 
@@ -104,14 +109,17 @@ def with_validity(layer: Layer) -> DataFrame:
     """
     key = layer.key[0]
     df = layer.df.withColumn("_row", _row_reason())
+    if not layer.may_hold("polygon"):
+        none = F.lit(None).cast("double")
+        return df.select(*layer.df.columns, F.col("_row").isNull().alias("valid"), _reason_text("_row").alias("reason"),
+                         none.alias("reason_x"), none.alias("reason_y"))
     polygons = df.filter(F.col("_row").isNull() & _is_polygon()).select(key, "geometry")
     faults = _contact_faults(polygons, key)
     joined = df.join(faults, key, "left")
     nesting = F.when(F.col("_row").isNull() & _is_polygon() & F.col("_fault").isNull(), _nesting_reason())
     joined = joined.withColumn("_code", F.coalesce("_row", "_fault.code", nesting))
-    reason = F.element_at(F.array(*[F.lit(r) for r in REASONS]), F.col("_code") + 1)
     return joined.select(*layer.df.columns, F.col("_code").isNull().alias("valid"),
-                         F.when(F.col("_code").isNotNull(), reason).alias("reason"),
+                         _reason_text("_code").alias("reason"),
                          F.col("_fault.px").alias("reason_x"), F.col("_fault.py").alias("reason_y"))
 
 

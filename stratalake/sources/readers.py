@@ -56,7 +56,7 @@ def read_points(spark: SparkSession, src: TabularSource, check: bool = True) ->
         if n_bad:
             raise RuntimeError(f"[{src.name}] {n_bad} rows have coordinates that are not numbers")
     numeric = {c: F.col(c).cast("double") for c in (src.lon_col, src.lat_col)}
-    return Layer(src.name, with_fid(layer.withColumns(numeric)), src.crs_epsg)
+    return Layer(src.name, with_fid(layer.withColumns(numeric)), src.crs_epsg, kinds=frozenset({"point"}))
 
 
 def with_fid(df: DataFrame) -> DataFrame:
