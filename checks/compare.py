@@ -18,7 +18,8 @@ from checks.queries import QUERIES
 def session(cores: str = "8", partitions: str = "8") -> SparkSession:
     return (SparkSession.builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", partitions)
             .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
-            .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+            .config("spark.ui.showConsoleProgress", "false")
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
 
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
