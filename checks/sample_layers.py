@@ -133,7 +133,7 @@ def polygons(spark: SparkSession, sf: str) -> Layer:
     df = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("fid"), F.col("c_mktsegment").alias("segment"),
         F.when(F.col("c_custkey") % 50 != 7, G.polygon(shape)).alias("geometry"))
-    return Layer("polygons", df, 4326, kinds=frozenset({"polygon"}))
+    return Layer("polygons", G.settle(df), 4326, kinds=frozenset({"polygon"}))
 
 
 def messy(spark: SparkSession, sf: str) -> DataFrame:

@@ -138,6 +138,17 @@ def line_length(g: Column | str) -> Column:
     return F.aggregate(lengths, F.lit(0.0), lambda a, v: a + v)
 
 
+def settle(df: DataFrame, g: str = "geometry") -> DataFrame:
+    """Compute a derived geometry once per row.
+
+    Filters on a computed column are pushed below the projection that makes it, so the geometry would
+    be rebuilt for every mention in them, inside lambdas for every vertex.  A generator over one
+    element stops that.  Stored geometries need no such step.
+    """
+    others = [c for c in df.columns if c != g]
+    return df.select(*others, F.inline(F.array(F.struct(F.col(g).alias(g))))).select(*df.columns)
+
+
 def explode_vertices(df: DataFrame, keep: list[str], g: str = "geometry") -> DataFrame:
     """View ``keep..., part, ring, i, x, y``: three chained explodes, no shuffle."""
     out = df.select(*keep, F.posexplode(F.col(g)["parts"]).alias("part", "_rings"))

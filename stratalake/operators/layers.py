@@ -105,9 +105,9 @@ def assemble_paths(vertices: DataFrame, key: str = "fid", rows: int = PATH_ROWS)
            .agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("_v"), F.max("n").alias("_n"),
                 F.max("step").alias("_step")))
     path = F.transform("_v", lambda v: G.vertex(v["x"], v["y"]))
-    return out.select(key, "seq", (F.col("seq") * rows).alias("seg_base"),
+    return G.settle(out.select(key, "seq", (F.col("seq") * rows).alias("seg_base"),
                       (F.col("_n") - 1).alias("seg_total"),
-                      (F.col("_step") * 2).alias("seg_cell"), G.linestring(path).alias("geometry"))
+                      (F.col("_step") * 2).alias("seg_cell"), G.linestring(path).alias("geometry")))
 
 
 def geometry_kinds(layer: Layer) -> DataFrame:

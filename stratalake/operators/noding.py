@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import geometry as G
 from stratalake.operators.contacts import self_contacts
 from stratalake.operators.layers import Layer
+from stratalake.operators.lineage import materialize
 
 _ROWKEY = "_seq"
 
@@ -25,7 +26,9 @@ def _stretches(layer: Layer) -> DataFrame:
         F.struct(F.col("part_b").alias("part"), F.col("i_b").alias("i"), F.col("tb").alias("t"), "px", "py"))))
     nodes = (at.groupBy(key, "part", "i")
              .agg(F.array_sort(F.collect_set(F.struct("t", "px", "py"))).alias("nodes")))
-    crossing = hits.select(key).distinct()
+    # The places found are few and read twice; searching for them again would cost another join.
+    nodes = materialize(nodes)
+    crossing = nodes.select(key).distinct()
     cut = (segments.join(crossing, key, "left_semi").join(nodes, [key, "part", "i"], "left"))
     mid = F.filter(F.coalesce("nodes", F.array().cast("array<struct<t:double,px:double,py:double>>")),
                    lambda n: (n["t"] > 0) & (n["t"] < 1))
@@ -57,11 +60,12 @@ def _stretches(layer: Layer) -> DataFrame:
 
 
 def _dissolved(pieces: DataFrame, key: str) -> DataFrame:
-    """Of stretches covered twice, in either direction, keep the first."""
+    """Of stretches covered twice, in either direction, keep the first.  The minimum combines before
+    the shuffle, so a stretch with very many copies is one row per task."""
     a, b = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y"))
     ends = pieces.withColumns({"_lo": F.least(a, b), "_hi": F.greatest(a, b)})
-    same = Window.partitionBy(key, "_lo", "_hi").orderBy(_ROWKEY, "run", "i", "t0")
-    return ends.withColumn("_rank", F.row_number().over(same)).filter("_rank = 1").drop("_rank", "_lo", "_hi")
+    first = F.min(F.struct(_ROWKEY, "run", "i", "t0", "ax", "ay", "bx", "by"))
+    return ends.groupBy(key, "_lo", "_hi").agg(first.alias("_f")).select(key, "_f.*")
 
 
 def noded_runs(layer: Layer) -> DataFrame:

@@ -101,7 +101,7 @@ def read_geojson(spark: SparkSession, path: str, name: str, lines: bool = False,
         properties = sorted(r["k"] for r in keys)
     df = features.select(*[F.col("properties")[p].alias(p) for p in properties],
                          geojson_geometry(F.col("geometry.type"), F.col("geometry.coordinates")).alias("geometry"))
-    return Layer(name, with_fid(_typed_fid(df)), epsg)
+    return Layer(name, with_fid(_typed_fid(G.settle(df))), epsg)
 
 
 def _typed_fid(df: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def read_kml(spark: SparkSession, path: str, name: str) -> Layer:
                   many["LineString"], lambda p: F.array(_kml_path(p["coordinates"])))))
               .when(F.size(many["Point"]) > 0, G.geometry("MultiPoint", F.transform(
                   many["Point"], lambda p: F.array(_kml_path(p["coordinates"]))))))
-    return Layer(name, with_fid(rows.select(F.col("name").alias("Name"), "description", single.alias("geometry"))), 4326)
+    return Layer(name, with_fid(G.settle(rows.select(F.col("name").alias("Name"), "description", single.alias("geometry")))), 4326)
 
 
 def read_parquet_layer(spark: SparkSession, path: str, name: str, epsg: int | None = None) -> Layer:
