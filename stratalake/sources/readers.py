@@ -164,7 +164,7 @@ def attribute_filter(df: DataFrame, expression: str | None, name: str = "source"
     if not expression:
         return df
     try:
-        return df.filter(F.expr(expression.replace("==", "=")))
+        return df.filter(F.expr(expression))
     except (AnalysisException, ParseException) as e:
         raise ValueError(f"[{name}] filter failed: {expression}") from e
 

@@ -2,8 +2,6 @@ import math
 import random
 from dataclasses import replace
 
-from pyspark.sql import functions as F
-
 from conftest import SQUARE
 from stratalake.functions import geometry as G
 from stratalake.operators import clip, mask
@@ -115,4 +113,3 @@ def test_mixed_layer_and_report(make_layer):
                         (4, "Point", [[[(7, 7)]]])])
     assert sorted(r["fid"] for r in clip.clip_layer(layer, m).df.collect()) == [1, 2, 3]
     assert clip.clip_report(layer, m).first().asDict() == {"layer": "test", "n_before": 4, "n_after": 3}
-    assert F is not None
