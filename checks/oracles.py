@@ -300,6 +300,9 @@ _RGB = {"rg": "select min(v) as lo, max(v) as hi from fx_ortho",
           max(case when band = 3 then q end) as blue from (select band, r, c, cast(floor((v - lo) / (hi - lo) * 255e0) as bigint) as q
           from fx_ortho cross join rg) t group by r, c"""}
 oracle("q_ortho_rgb", "fx_ortho", "select r, c, red, green, blue from rgb", _RGB)
+oracle("q_ortho_gray", "fx_ortho", """select r, c, q as red, q as green, q as blue from (
+  select r, c, cast(floor((v - lo) / (hi - lo) * 255e0) as bigint) as q from fx_ortho
+  cross join (select min(v) as lo, max(v) as hi from fx_ortho where band = 2) g where band = 2) t""")
 oracle("q_texture_uv", _D, f"""select r, c, {rnd('(x0 + (c + 0.5e0) * dx - x0) / (x0 + width * dx - x0)')} as u6,
   {rnd('(y0 - (r + 0.5e0) * dy - (y0 - height * dy)) / (y0 - (y0 - height * dy))')} as v6 from fx_dem cross join fx_dem_meta""")
 oracle("q_textured_terrain", "fx_ortho fx_dem fx_dem_meta", """select d.r, d.c, o.red, o.green, o.blue from (

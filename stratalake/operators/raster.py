@@ -61,7 +61,9 @@ class Raster:
     tiles: DataFrame
 
     def band(self, band: int) -> Raster:
-        return Raster(replace(self.meta, bands=1), self.tiles.filter(F.col("band") == band))
+        """One band on its own, numbered 1."""
+        chosen = self.tiles.filter(F.col("band") == band).withColumn("band", F.lit(1))
+        return Raster(replace(self.meta, bands=1), chosen)
 
 
 def from_pixels(pixels: DataFrame, meta: RasterMeta) -> Raster:

@@ -106,3 +106,9 @@ def test_skew_join_is_a_plain_join(spark):
         want = left.join(right, "k", how).select("id", "w").collect()
         got = joins.skew_join(left, right, ["k"], how).select("id", "w").collect()
         assert sorted(want, key=str) == sorted(got, key=str)
+
+
+def test_one_band_becomes_band_one(spark):
+    r = ramp(spark, 5, 5)
+    two = Raster(replace(r.meta, bands=2), r.tiles.unionByName(r.tiles.withColumn("band", F.lit(2))))
+    assert terrain.dem_grid(two.band(2)).count() == 25
