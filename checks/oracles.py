@@ -154,9 +154,11 @@ oracle("q_repair_report", _CROSS, """select 'polygons' as layer, count(*) as row
 
 oracle("q_clip_points", "fx_samples fx_ring fx_edge", f"""select s.sample_id, {rnd('s.lon')} as lon6 from fx_samples s cross join fx_edge e
   group by s.sample_id, s.lon having {inside('s.lon', 's.lat')}""")
-_UTMRING = {"ringu": utm_forward("fx_ring", "x", "y"),
+_UTMRING = {"west": """select * from (values (0, 68.5e0, 35.2e0), (1, 69.6e0, 35.1e0), (2, 69.9e0, 35.7e0),
+              (3, 69.0e0, 35.8e0), (4, 68.5e0, 35.2e0)) t(i, x, y)""",
+            "ringu": utm_forward("west", "x", "y"),
             "edgeu": "select a.ux as x1, a.uy as y1, b.ux as x2, b.uy as y2 from ringu a join ringu b on b.i = a.i + 1"}
-oracle("q_clip_points_utm", "fx_samples_utm fx_ring", f"""select s.sample_id from fx_samples_utm s cross join edgeu e
+oracle("q_clip_points_utm", "fx_samples_utm", f"""select s.sample_id from fx_samples_utm s cross join edgeu e
   group by s.sample_id having {inside('s.easting', 's.northing')}""", _UTMRING)
 _BLOCKS = {"blk": """select * from (values (0, 70.1e0, 35.1e0, 70.4e0, 35.4e0), (1, 70.3e0, 35.3e0, 70.7e0, 35.6e0)) t(m, xa, ya, xb, yb)"""}
 oracle("q_clip_points_multimask", "fx_samples", """select distinct sample_id from fx_samples join blk

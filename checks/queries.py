@@ -255,7 +255,7 @@ def q_clip_points(spark, sf):
 
 @query
 def q_clip_points_utm(spark, sf):
-    study = crs.reproject(S.study_area(spark), 32642)
+    study = crs.reproject(S.polygon_layer(spark, "west", [S.WEST_RING]), 32642)
     return clip.clip_points(S.samples_utm(spark, sf), mask.build_mask(study)).df.select("sample_id")
 
 

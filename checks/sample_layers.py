@@ -85,8 +85,8 @@ def ortho(spark: SparkSession, sf: str) -> Raster:
 RING = [(70.2, 35.2), (70.8, 35.2), (70.8, 35.5), (70.5, 35.5), (70.5, 35.8), (70.2, 35.8), (70.2, 35.2)]
 BLOCKS = [[(70.1, 35.1), (70.4, 35.1), (70.4, 35.4), (70.1, 35.4), (70.1, 35.1)],
           [(70.3, 35.3), (70.7, 35.3), (70.7, 35.6), (70.3, 35.6), (70.3, 35.3)]]
-UTM_RING = [(430000.0, 3890000.0), (560000.0, 3880000.0), (540000.0, 3960000.0), (450000.0, 3950000.0),
-            (430000.0, 3890000.0)]
+# In degrees, over the middle of the UTM samples.
+WEST_RING = [(68.5, 35.2), (69.6, 35.1), (69.9, 35.7), (69.0, 35.8), (68.5, 35.2)]
 
 
 def polygon_layer(spark: SparkSession, name: str, rings: list, epsg: int = 4326) -> Layer:
