@@ -13,6 +13,7 @@ each.  An empty table gives no rows.  Columns of ``docs`` other than ``doc_id``
 
 from __future__ import annotations
 
+import re
 import zlib
 from itertools import repeat
 
@@ -25,7 +26,7 @@ from stratalake.llm.common import numbered, stored, table, texts_of
 
 SEQUENCE, UNIT, END_ID = 4096, 64, 2
 #: Word forms whose ids a task remembers; the memory is emptied beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -39,22 +40,49 @@ def cuts(tokens: int, sequence: int, unit: int) -> list[int]:
     return ends
 
 
+#: Plain words: letters whose lower case and composition don't depend on neighbours, then signs that start no contraction.
+PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?*#$%&|]*)")
+#: The vocabulary writes a byte as a printable character: itself where it is one, else the next from 256 on.
+_PRINTED = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+_PRINTED |= {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 class WordIds(dict):
     """Ids of a word between ASCII white space, as little-endian bytes.
 
-    The vocabulary's rules never join text across white space, so words can be encoded one by one.
+    The vocabulary's rules never join text across white space, nor letters with the signs after them, so
+    words, and the two parts of plain words, are encoded one by one and remembered.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, words: list[bytes]) -> None:
-        new = list({w for w in words if w not in self})
-        for k in range(0, len(new), 10_000):
-            part = new[k:k + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded))
+        self.tokenizer, self.parts = Tokenizer.from_file(path), {}
+        self.merge = self.tokenizer.model.tokenize
+        table = np.arange(self.tokenizer.get_vocab_size(), dtype="<u4").tobytes()
+        self.bytes_of = [table[k:k + 4] for k in range(0, len(table), 4)]
+
+    def part(self, word: bytes) -> bytes:
+        found = self.parts.get(word)
+        if found is None:
+            if len(self.parts) >= REMEMBERED:
+                self.parts.clear()
+            form = word.decode() if word.isascii() else word.decode("latin-1").translate(_PRINTED)
+            found = self.parts[word] = b"".join([self.bytes_of[t.id] for t in self.merge(form)]) if word else b""
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        plain = PLAIN.fullmatch(word)
+        if plain:
+            letters, signs = plain.groups()
+            ids = self.part(letters.lower() if letters.isascii() else letters.decode().lower().encode())
+            if signs:
+                ids += self.part(signs)
+        else:
+            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
 
 
 def tokenized_pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE, unit: int = UNIT,
@@ -67,11 +95,7 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, sequence: int = SEQUENCE,
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                words = (text or b"").split()
-                if len(ids) > REMEMBERED:
-                    ids.clear()
-                ids.learn(words)
-                data = b"".join(map(ids.__getitem__, words)) + end
+                data = b"".join(map(ids.__getitem__, (text or b"").split())) + end
                 start, tokens = 0, len(data) // 4
                 for stop in cuts(tokens, sequence, unit):
                     rows.append((doc_id, start, stop - start, zlib.crc32(memoryview(data)[4 * start:4 * stop]), tokens))
