@@ -200,7 +200,7 @@ def links(distinct: DataFrame, reach: int = DISTANCE) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root``: the smallest node of each component, for nodes with an edge.
+    """``node, root``: the smallest node of its component, for every other node of a component.
 
     Alternates large-star and small-star steps until nothing changes; each step's edges are written, so an
     executor lost later repeats one step at most.  Neighbours of a node meet only in sums (a minimum), so a hub is no hot group.
