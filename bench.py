@@ -31,11 +31,11 @@ def large_warp(spark, sf):
     36 output values per order and band."""
     orders = S.table(spark, sf, "orders")
     width = 400
-    height = orders.count() // width
+    height = -(-orders.count() // width)
     key = F.col("o_orderkey")
     bands = F.array(*[F.struct(F.lit(b).alias("band"), v.cast("double").alias("v")) for b, v in (
         (1, F.col("o_totalprice")), (2, F.col("o_custkey")), (3, key % 256))])
-    pixels = orders.filter(key < width * height).select(
+    pixels = orders.select(
         F.floor(key / float(width)).alias("r"), (key % width).alias("c"), F.inline(bands))
     meta = RasterMeta("orders", 32642, 400000.0, 3970000.0, 250.0, 250.0, width, height, 3, None)
     source = raster.from_pixels(pixels, meta)

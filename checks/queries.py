@@ -6,6 +6,7 @@ Floating-point results are returned as rounded integers so that both engines agr
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,18 @@ def rnd(c: Column | str, scale: float = 1e6) -> Column:
 
 
 def scratch(name: str) -> str:
-    return tempfile.mkdtemp(prefix=f"stratalake-{name}-") + "/out"
+    return scratch_folder(name) + "/out"
+
+
+def scratch_folder(name: str) -> str:
+    """A new folder that all executors see; only a local session may take a temporary one."""
+    spark = SparkSession.getActiveSession()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/stratalake-{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix=f"stratalake-{name}-")
 
 
 # ---- sources -------------------------------------------------------------------------------------
@@ -128,7 +140,7 @@ def q_layer_inventory(spark, sf):
 
 @query
 def q_source_audit(spark, sf):
-    folder = tempfile.mkdtemp(prefix="stratalake-audit-")
+    folder = scratch_folder("audit")
     S.sample_table(spark, sf).write.option("header", True).csv(f"{folder}/samples.csv")
     writers.write_parquet_layer(S.polygons(spark, sf), f"{folder}/outlines.parquet")
     writers.write_parquet_layer(S.study_area(spark), f"{folder}/study.parquet")
@@ -528,7 +540,7 @@ def q_roundtrip_raster(spark, sf):
 
 @query
 def q_samples_end_to_end(spark, sf):
-    folder = tempfile.mkdtemp(prefix="stratalake-run-")
+    folder = scratch_folder("run")
     S.sample_table(spark, sf).write.option("header", True).csv(f"{folder}/samples.csv")
     writers.write_parquet_layer(S.study_area(spark), f"{folder}/study.parquet")
     dem_path = writers.write_raster(spark, S.dem(spark, sf), f"{folder}/dem.parquet")

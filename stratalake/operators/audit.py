@@ -19,20 +19,23 @@ EXTENSIONS = {
 AUDIT_SCHEMA = "source string, kind string, path string, status string, message string"
 
 
+ABSENT, OPTIONAL_ABSENT = "does not exist", "does not exist, may be left out"
+
+
 def audit_path(spark: SparkSession, name: str, kind: str, path: str, optional: bool) -> tuple[str, str]:
     """Status ``ok``, ``skipped`` or ``error`` of a path: there, not empty, known ending."""
     size = path_size(spark, path)
     if size is None:
-        return ("skipped", "not found (optional)") if optional else ("error", "required file not found")
+        return ("skipped", OPTIONAL_ABSENT) if optional else ("error", ABSENT)
     if size == 0:
-        return "error", "file is empty (0 bytes)"
+        return "error", "has 0 bytes"
     if extension(path) not in EXTENSIONS[kind]:
-        return "error", f"unsupported file format '{extension(path)}'; supported: {EXTENSIONS[kind]}"
+        return "error", f"ending '{extension(path)}' is none of {EXTENSIONS[kind]}"
     return "ok", ""
 
 
 def _readable(spark: SparkSession, kind: str, src, path: str) -> str:
-    """Empty text, or why the source cannot be read.  Only headers and schemas are touched."""
+    """Empty text, or why the source cannot be read.  Headers and schemas are read, GeoJSON and KML whole."""
     try:
         if kind == "tabular":
             require_columns(spark.read.option("header", True).csv(path).limit(5).columns, src.lon_col, src.lat_col, src.name)
@@ -49,7 +52,7 @@ def _audit_source(spark: SparkSession, src, kind: str) -> list[tuple]:
     """Rows of one source; after its first fault the rest of the source is not looked at."""
     paths = src.path if isinstance(src.path, list) else [src.path]
     states = [(p, *audit_path(spark, src.name, kind, p, src.optional)) for p in paths]
-    absent = [(p, s, m) for p, s, m in states if s == "skipped" or m == "required file not found"]
+    absent = [(p, s, m) for p, s, m in states if s == "skipped" or m == ABSENT]
     if absent:
         return [(src.name, kind, p, s, m) for p, s, m in absent]
     for path, status, message in states:
@@ -74,8 +77,7 @@ def source_audit(spark: SparkSession, config: RunConfig) -> DataFrame:
 
 
 def audit_gate(report: DataFrame) -> None:
-    """Raise once with a numbered list of all errors."""
+    """Raise once, naming all errors."""
     errors = report.filter(F.col("status") == "error").collect()
     if errors:
-        lines = [f"  {k}. [{e['source']}] {e['message']}: {e['path']}" for k, e in enumerate(errors, start=1)]
-        raise ValueError(f"validation failed, {len(errors)} problem(s) found:\n" + "\n".join(lines))
+        raise ValueError(f"{len(errors)} problem(s) with sources: " + "; ".join(f"{e['source']} at '{e['path']}' {e['message']}" for e in errors))

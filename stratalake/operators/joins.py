@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ def skew_join(probe: DataFrame, build: DataFrame, keys: list[str], how: str = "i
     A key is hot when it holds more than ``share`` of the probe rows, so there are at most
     ``1 / share`` hot keys and their list is small whatever the data.  The salt of a probe row is a
     hash of the row, so a retried task sends its rows to the same place.  Build rows of hot keys are
-    repeated ``fanout`` times, others once.
+    repeated ``fanout`` times, others once.  Rows of ``probe`` with a NULL key match nothing, so they are
+    salted too, however many there are.
     """
     counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_t"))
@@ -24,8 +27,9 @@ def skew_join(probe: DataFrame, build: DataFrame, keys: list[str], how: str = "i
                  .select(*keys, F.lit(True).alias("_hot")))
     hot = F.broadcast(hot)
     row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in probe.columns]), F.lit(fanout)).cast("int")
+    unmatched = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     left = probe.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), row_hash).otherwise(F.lit(0))).drop("_hot")
+        "_salt", F.when(F.col("_hot") | unmatched, row_hash).otherwise(F.lit(0))).drop("_hot")
     right = build.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fanout - 1)))
                            .otherwise(F.array(F.lit(0))))).drop("_hot")

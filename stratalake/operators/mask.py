@@ -19,7 +19,6 @@ from stratalake.functions import geometry as G
 from stratalake.operators.joins import sized_join
 from stratalake.operators.layers import Layer
 
-MAX_BANDS = 1 << 20
 EDGES_PER_BAND = 8
 _EDGE_BYTES = 64
 
@@ -88,7 +87,7 @@ def build_mask(layer: Layer) -> Mask:
             "mid", F.array(F.struct("x1", "y1", "x2", "y2")).alias("edges"))).alias("groups"))
         return Mask(empty, edges, layer.epsg, 0, None, 1, 0)
     bounds = (stat["x0"], stat["y0"], stat["x1"], stat["y1"])
-    n_bands = max(1, min(stat["n"] // EDGES_PER_BAND, MAX_BANDS))
+    n_bands = max(1, stat["n"] // EDGES_PER_BAND)
     height = (bounds[3] - bounds[1]) / n_bands or 1.0
     # Every edge is listed once per band it meets, so this bounds the size of the index.
     listed = (stat["n"] * 3 + int(stat["climb"] / height)) * _EDGE_BYTES

@@ -87,7 +87,7 @@ def from_pixels(pixels: DataFrame, meta: RasterMeta) -> Raster:
 def pixels(raster: Raster, null_nodata: bool = False) -> DataFrame:
     """Pixel view ``band, r, c, v``, one narrow explode of the tiles."""
     out = raster.tiles.select("band", "r0", "c0", "w", F.posexplode("data").alias("_k", "v"))
-    v = F.col("v")
+    v = F.nanvl(F.col("v"), F.lit(None).cast("double"))
     if null_nodata and raster.meta.nodata is not None:
         v = F.nullif(v, F.lit(float(raster.meta.nodata)))
     return out.select("band", (F.col("r0") + F.floor(F.col("_k") / F.col("w"))).alias("r"),
@@ -95,9 +95,11 @@ def pixels(raster: Raster, null_nodata: bool = False) -> DataFrame:
 
 
 def _null_nodata(data: Column, meta: RasterMeta) -> Column:
+    """Values of a tile; nodata and NaN are NULL."""
+    nothing = F.lit(None).cast("double")
     if meta.nodata is None:
-        return data
-    return F.transform(data, lambda v: F.nullif(v, F.lit(float(meta.nodata))))
+        return F.transform(data, lambda v: F.nanvl(v, nothing))
+    return F.transform(data, lambda v: F.nullif(F.nanvl(v, nothing), F.lit(float(meta.nodata))))
 
 
 def raster_profile(raster: Raster) -> DataFrame:

@@ -14,7 +14,7 @@ from stratalake.operators.layers import Layer, union_all
 
 # Canonical type names and the date formats tried in turn.
 TYPES = {"str": "string", "int": "bigint", "float": "double", "datetime": "timestamp_ntz"}
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy")
+DATE_FORMATS = ("yyyy-MM-dd HH:mm", "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "dd.MM.yyyy")
 
 _EDGE_SPACE = "(?U)^\\s+|\\s+$"
 
@@ -53,7 +53,8 @@ def cast_value(c: Column, target: str, formats: tuple[str, ...] = DATE_FORMATS)
         return F.when(whole.isNotNull(), whole).when(number == F.floor(number), number.try_cast("bigint"))
     tries = [F.to_timestamp_ntz(F.when(F.try_to_timestamp(c.cast("string"), F.lit(f)).isNotNull(), c.cast("string")), F.lit(f))
              for f in formats]
-    return F.coalesce(*tries)
+    # ISO dates and times, with fractions or a zone (which is dropped), then the formats.
+    return F.coalesce(c.cast("string").try_cast("timestamp_ntz"), *tries)
 
 
 def field_type(df: DataFrame, name: str) -> str:
@@ -64,12 +65,15 @@ def cast_field(df: DataFrame, name: str, target: str) -> DataFrame:
     """Convert one column; dates that do not parse become NULL, bad numbers are left to the gate."""
     if target in TYPES and field_type(df, name) == TYPES[target]:
         return df
+    if target == "datetime" and isinstance(df.schema[name].dataType, (T.TimestampType, T.DateType)):
+        return df.withColumn(name, F.col(name).cast(TYPES[target]))
     return df.withColumn(name, cast_value(F.col(name), target))
 
 
-def cast_failures(df: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """One row per int or float field: values that do not convert, and one of them."""
-    checked = {n: t for n, t in fields.items() if t in ("int", "float") and n in df.columns}
+def cast_failures(df: DataFrame, fields: dict[str, str], kinds: tuple[str, ...] = ("int", "float")) -> DataFrame:
+    """One row per field of these kinds: values that do not convert, and one of them.  Dates that don't parse
+    become NULL without failing the gate; ``kinds=("datetime",)`` counts them."""
+    checked = {n: t for n, t in fields.items() if t in kinds and n in df.columns}
     if not checked:
         return df.sparkSession.createDataFrame([], "field string, target string, n_bad bigint, sample string")
     aggregates = []

@@ -13,6 +13,7 @@ from stratalake.operators.layers import Layer, registry
 from stratalake.operators.lineage import materialize
 from stratalake.operators.mask import Mask, build_mask
 from stratalake.operators.raster import Raster, clip_raster
+from stratalake.operators.terrain import build_terrain_model
 from stratalake.operators.warp import warp_rasters
 from stratalake.plans.config import GeometrySettings, RunConfig, SpatialSettings, VectorSource, config_from_arguments
 from stratalake.sources.readers import load_all_sources, read_vector
@@ -71,6 +72,14 @@ def run_config(spark: SparkSession, config: RunConfig) -> dict:
     return {"vectors": layers, "rasters": rasters, "qa": report, "saved": saved, "config": config, "report": summary}
 
 
+def terrain_model(result: dict, **changes) -> dict:
+    """Terrain and draped layers of a run, with the elevation model, photo and exaggeration of its configuration."""
+    t = result["config"].terrain
+    photo = t.orthophoto_name if t.orthophoto_name in result["rasters"] else None
+    settings = {"dem_name": t.dem_name, "orthophoto_name": photo, "z_exaggeration": t.z_exaggeration} | changes
+    return build_terrain_model(result["vectors"], result["rasters"], **settings)
+
+
 def run_pipeline(spark: SparkSession, **arguments) -> dict:
     """Run from plain arguments, see ``config_from_arguments``."""
     return run_config(spark, config_from_arguments(**arguments))

@@ -147,10 +147,15 @@ def read_kml(spark: SparkSession, path: str, name: str) -> Layer:
     return Layer(name, with_fid(G.settle(rows.select(F.col("name").alias("Name"), "description", single.alias("geometry")))), 4326)
 
 
-def read_parquet_layer(spark: SparkSession, path: str, name: str, epsg: int | None = None) -> Layer:
-    """Layer written by this package; the EPSG code is kept in the geometry column's metadata."""
+def read_parquet_layer(spark: SparkSession, path: str, name: str, epsg: int | None = None,
+                       layer: str | None = None, filter_expr: str | None = None) -> Layer:
+    """Layer written by this package; the EPSG code is kept in the geometry column's metadata.
+
+    Rows are selected before they are numbered, so that the filter reaches the scan.
+    """
     df = spark.read.parquet(path)
     stored = df.schema["geometry"].metadata.get("epsg")
+    df = attribute_filter(select_layer(df, layer), filter_expr, name)
     return Layer(name, with_fid(df.drop("xmin", "ymin", "xmax", "ymax")), epsg or stored)
 
 
@@ -183,7 +188,7 @@ def read_vector(spark: SparkSession, src: VectorSource) -> Layer:
     elif kind == ".kml":
         layer = read_kml(spark, src.path, src.name)
     elif kind == ".parquet":
-        layer = read_parquet_layer(spark, src.path, src.name)
+        return read_parquet_layer(spark, src.path, src.name, layer=src.layer, filter_expr=src.filter_expr)
     else:
         raise ValueError(f"[{src.name}] unsupported vector format '{kind}'")
     return layer.with_df(attribute_filter(select_layer(layer.df, src.layer), src.filter_expr, src.name))
@@ -200,9 +205,9 @@ def read_raster(spark: SparkSession, src: RasterSource) -> Raster:
     from dataclasses import replace
     paths = src.path if isinstance(src.path, list) else [src.path]
     parts = [read_one_raster(spark, p, src.name) for p in paths]
+    if src.nodata is not None:  # before merging, so that its pixels don't hide those below
+        parts = [Raster(replace(r.meta, nodata=src.nodata), r.tiles) for r in parts]
     raster = parts[0] if len(parts) == 1 else mosaic(parts, src.name)
-    if src.nodata is not None:
-        raster = Raster(replace(raster.meta, nodata=src.nodata), raster.tiles)
     return raster if src.band is None else raster.band(src.band)
 
 
@@ -211,7 +216,7 @@ def present_paths(spark: SparkSession, src) -> bool:
     paths = src.path if isinstance(src.path, list) else [src.path]
     missing = [p for p in paths if path_size(spark, p) is None]
     if missing and not src.optional:
-        raise FileNotFoundError(f"[{src.name}] required file(s) not found: {missing}")
+        raise FileNotFoundError(f"[{src.name}] nothing to read at {missing}")
     return not missing
 
 
