@@ -12,7 +12,7 @@ of the pass before, so nothing that grows is broadcast and no row is shuffled.
 Defined results: NULL and wordless texts have no words, no hits and aren't contaminated; benchmark items
 without words are ignored; items with a NULL id hit words but aren't named.  Repeated documents get a row
 each, repeated items count once.  An empty benchmark hits nothing.  Other columns of ``docs`` are kept,
-except that they must not be named like the results.
+but those named like a result give way to it.
 """
 
 from __future__ import annotations
@@ -222,7 +222,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.encode("text", "utf-8").alias("text")).filter(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
-    others = [c for c in docs.columns if c != "text"]
+    others = [c for c in docs.columns if c not in ("text", "n_words", "spans", "items")]
     out = docs.select(*others, "text")
     for b in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).distinct().collect()

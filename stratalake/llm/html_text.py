@@ -6,7 +6,8 @@ their own with a blank line around paragraphs and headings, bullets or numbers b
 nested lists, preformatted text as it is, and table cells padded to the width of their column.
 
 Defined results: NULL html gives NULL text; empty html gives the empty text.  Broken markup never fails: stray end tags
-are ignored, open elements end with the page.  Repeated rows are rendered each; extra columns are kept.
+are ignored, open elements end with the page.  Repeated rows are rendered each; extra columns are kept,
+but one named ``text`` gives way to the result.
 """
 
 from __future__ import annotations

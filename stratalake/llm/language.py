@@ -11,8 +11,6 @@ Columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +23,6 @@ LEARN_DOCS, LEARN_DOC_BYTES, DICTIONARY_BYTES = 1_000, 500, 500_000
 BLOCK_BYTES, LEVEL = 4_096, 6
 #: A best language less than this share smaller than the second is no verdict.
 LEAST_MARGIN = 0.01
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def dictionaries(docs: DataFrame, docs_each: int = LEARN_DOCS, bytes_each: int = LEARN_DOC_BYTES,
@@ -63,7 +60,7 @@ def identify(docs: DataFrame, content: dict[str, bytes], block: int = BLOCK_BYTE
             for text in texts_of(batch):
                 sizes = []
                 text = (text or b"").decode().lower()
-                if compressors and LETTER.search(text):
+                if compressors and any(map(str.isalpha, text)):
                     text = text.encode()
                     parts = [text[k:k + block] for k in range(0, len(text), block)]
                     sizes = sorted((sum(len(f(p)) for p in parts), lang) for lang, f in compressors.items())

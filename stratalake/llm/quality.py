@@ -7,7 +7,7 @@ one pass over all texts.
 
 Defined results: NULL, empty and wordless texts have only the empty-text mark and get the score the model gives it.
 Without learning rows of both labels every score is 0.5.  A document labelled twice counts with its lowest label.
-Repeated rows are scored each; other columns are ignored, or kept where asked for.
+Repeated rows are scored each; other columns are ignored, or kept where asked for (``score`` gives way to the result).
 """
 
 from __future__ import annotations
@@ -124,7 +124,7 @@ def fit(sample: DataFrame, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np
 
 def score(docs: DataFrame, model, keep: list[str] | None = None, dimensions: int = DIMENSIONS) -> DataFrame:
     """Every row of ``docs`` with the columns ``keep`` (``doc_id``) and ``score``, over 0.5 where the margin is positive."""
-    keep = keep or ["doc_id"]
+    keep = [c for c in keep or ["doc_id"] if c != "score"]
     ratios, weights, bias = model if model else (None, None, 0.0)
     if model:
         used = weights * ratios

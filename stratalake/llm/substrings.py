@@ -13,7 +13,7 @@ Windows are compared by 64 bits of hash and, at the last level, 31 more.
 
 Defined results: NULL and wordless texts have no words and lose none; texts shorter than ``min_words`` lose none;
 equal rows are copies of each other and lose what they share; an empty table gives no rows.  Other columns of
-``docs`` are kept, but may not be named like the results.
+``docs`` are kept, but those named like a result give way to it (and ``_chunk`` goes).
 """
 
 from __future__ import annotations
@@ -138,18 +138,19 @@ def _repeated(sent: DataFrame) -> DataFrame:
     same = Window.partitionBy("hash", F.shiftright("tag", 32))
     several = (F.count(F.lit(1)).over(same) > 1) | (F.max(F.col("tag").bitwiseAND(F.lit(1))).over(same) == 1)
     return (sent.withColumn("_several", several).filter("_several")
-            .select(F.shiftright(F.col("tag").bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int").alias("chunk"), "hash"))
+            .select(F.shiftright(F.col("tag").bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int").alias("_chunk"), "hash"))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int = SEED_WORDS, chunks: int | None = None,
                    keep_text: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept`` (what is left, joined by single spaces); the text goes, unless asked for."""
+    docs = docs.drop("n_words", "n_removed", "kept", "_chunk")
     lengths = levels(min_words, seed_words)
     if chunks is None:
         size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         chunks = max(CHUNKS, size // CHUNK_BYTES)
     others = [c for c in docs.columns if c != "text" or keep_text]
-    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64(*docs.columns), F.lit(chunks)).cast("int"))
+    dealt = docs.withColumn("_chunk", F.pmod(F.xxhash64(*docs.columns), F.lit(chunks)).cast("int"))
     sent_kind, last = "hash bigint, tag bigint", len(lengths) - 1
 
     def first_level(key, chunk):
@@ -180,10 +181,10 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, seed_words: int
                                                 "kept": pa.array(kept, pa.binary()).cast(pa.string())}
         return pa.table(out)
 
-    sent = dealt.groupBy("chunk").applyInArrow(first_level, sent_kind)
+    sent = dealt.groupBy("_chunk").applyInArrow(first_level, sent_kind)
     for level in range(1, len(lengths)):
-        sent = dealt.groupBy("chunk").cogroup(_repeated(sent).groupBy("chunk")).applyInArrow(next_level(level), sent_kind)
-    return dealt.groupBy("chunk").cogroup(_repeated(sent).groupBy("chunk")).applyInArrow(
+        sent = dealt.groupBy("_chunk").cogroup(_repeated(sent).groupBy("_chunk")).applyInArrow(next_level(level), sent_kind)
+    return dealt.groupBy("_chunk").cogroup(_repeated(sent).groupBy("_chunk")).applyInArrow(
         clean, kinds(docs, others) + ", n_words bigint, n_removed bigint, kept string")
 
 

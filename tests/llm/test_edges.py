@@ -4,6 +4,7 @@ import pytest
 from conftest_llm import DOCS, EDGE, OTHERS
 
 import corpus_pipeline
+from stratalake.llm import decontaminate, html_text, language, quality, substrings
 from stratalake.llm.common import stored
 from stratalake.llm.queries import QUERIES
 
@@ -35,3 +36,21 @@ def test_stages(spark, folder, rows):
         assert docs.columns == columns, name
         assert docs.count() <= before
     corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+
+
+def test_columns_named_like_results_give_way(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", -1, "y", "z", 0.5, "c", "i")],
+                                 "doc_id int, text string, kept string, n_words int, chunk string, spans string, score double, _chunk string, items string")
+    done = substrings.remove_repeats(docs).first()
+    assert (done["kept"], done["n_words"], done["chunk"]) == ("a b c", 3, "y")
+    found = decontaminate.benchmark_hits(docs, spark.createDataFrame([(7, "b c")], "item_id int, text string")).first()
+    assert (found["n_words"], found["items"], found["kept"]) == (3, ["7"], "x")
+    assert quality.score(docs, None, docs.columns).first()["score"] == 0.5
+    pages = spark.createDataFrame([("<p>a", "b", 1)], "html string, text string, others int")
+    assert html_text.extract(pages).first().asDict() == {"text": "a", "others": 1}
+
+
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "\u00bd \u00b2 12"), (2, "\u03b1")], "doc_id int, text string")
+    got = {r["doc_id"]: r["best"] for r in language.identify(docs, {"el": "\u03b1\u03b2".encode()}).collect()}
+    assert got == {1: "und", 2: "el"}
