@@ -163,16 +163,20 @@ def explode_segments(df: DataFrame, keep: list[str], g: str = "geometry") -> Dat
     ``i`` counts segments along the path and ``n`` is their number; ``cell`` is twice the feature's
     mean segment length, the grid size its segments are joined on.  A path stored in several rows
     (see ``operators.layers.assemble_paths``) brings ``seg_base``, ``seg_total`` and ``seg_cell``
-    columns, which make ``i``, ``n`` and ``cell`` those of the whole path.
+    columns, which make ``i``, ``n`` and ``cell`` those of the whole path, and after noding ``part_base``,
+    which does the same for ``part``.
     """
-    based = "seg_base" in df.columns
+    based, parted = "seg_base" in df.columns, "part_base" in df.columns
     lengths = F.flatten(F.transform(F.flatten(F.col(g)["parts"]), lambda p: F.transform(
         path_segments(p), lambda s: F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]))))
     total = F.aggregate(lengths, F.lit(0.0), lambda a, v: a + v)
     cell = F.coalesce(F.nullif(total * 2 / F.greatest(F.size(lengths), F.lit(1)), F.lit(0.0)), F.lit(1.0))
     cell = F.coalesce(F.col("seg_cell"), cell) if based else cell
     extra = ["seg_base", "seg_total"] if based else []
-    out = df.select(*keep, *extra, cell.alias("cell"), F.posexplode(F.col(g)["parts"]).alias("part", "_rings"))
+    out = df.select(*keep, *extra, cell.alias("cell"), *(["part_base"] if parted else []),
+                    F.posexplode(F.col(g)["parts"]).alias("part", "_rings"))
+    if parted:
+        out = out.withColumn("part", F.col("part") + F.coalesce("part_base", F.lit(0)))
     keep = [*keep, "cell"]
     out = out.select(*keep, *extra, "part", F.posexplode("_rings").alias("ring", "_path"))
     path = F.col("_path") if based else without_repeats(F.col("_path"))

@@ -42,14 +42,18 @@ def _hit(kind, px, py, ta, tb) -> Column:
     return F.struct(kind.alias("kind"), px.alias("px"), py.alias("py"), ta.alias("ta"), tb.alias("tb"))
 
 
-def _snap(p: Column) -> Column:
-    """Computed crossings on a fixed fine grid (a nanodegree, or a micrometre for projected
-    coordinates), so that one place reached from several segment pairs is one vertex."""
-    scale = F.when(F.abs(p) < 1e6, 1e9).otherwise(1e6)
-    return F.floor(p * scale + 0.5) / scale
+def grid_of(epsg: int | None) -> float:
+    """Grid points in a unit, for computed crossings: a nanodegree, or a micrometre in projected systems."""
+    return 1e9 if epsg in (None, 4326) else 1e6
 
 
-def with_hits(pairs: DataFrame) -> DataFrame:
+def _snap(p: Column, grid: float) -> Column:
+    """Computed crossings on the layer's fine grid, so that one place reached from several segment pairs is
+    one vertex."""
+    return F.floor(p * F.lit(grid) + 0.5) / F.lit(grid)
+
+
+def with_hits(pairs: DataFrame, grid: float = 1e9) -> DataFrame:
     """Meeting points ``kind, px, py, ta, tb`` of the segments in ``a_x1 .. a_y2`` and ``b_x1 .. b_y2``.
 
     A pair that crosses or touches has one row, a collinear overlap two (its ends).  ``ta`` and ``tb``
@@ -84,9 +88,9 @@ def with_hits(pairs: DataFrame) -> DataFrame:
         at_a = F.when(t == 0, _hit(kind, *a1, t, c("r1"))).when(t == 1, _hit(kind, *a2, t, c("r2")))
         return at_a.when(t == c("s1"), _hit(kind, *b1, t, F.lit(0.0))).otherwise(_hit(kind, *b2, t, F.lit(1.0)))
     px = (F.when(c("ta") == 0, a1[0]).when(c("ta") == 1, a2[0]).when(c("tb") == 0, b1[0])
-          .when(c("tb") == 1, b2[0]).otherwise(_snap(a1[0] + c("ta") * ux)))
+          .when(c("tb") == 1, b2[0]).otherwise(_snap(a1[0] + c("ta") * ux, grid)))
     py = (F.when(c("ta") == 0, a1[1]).when(c("ta") == 1, a2[1]).when(c("tb") == 0, b1[1])
-          .when(c("tb") == 1, b2[1]).otherwise(_snap(a1[1] + c("ta") * uy)))
+          .when(c("tb") == 1, b2[1]).otherwise(_snap(a1[1] + c("ta") * uy, grid)))
     inner = (c("ta") > 0) & (c("ta") < 1) & (c("tb") > 0) & (c("tb") < 1)
     kind = F.when(inner, "cross").otherwise("touch")
     hits = (F.when(c("flat") & (c("lo") < c("hi")), F.array(end(c("lo"), "overlap"), end(c("hi"), "overlap")))
@@ -97,7 +101,7 @@ def with_hits(pairs: DataFrame) -> DataFrame:
     return out.select(*pairs.columns, F.inline(hits))
 
 
-def self_contacts(segments: DataFrame, key: str = "fid") -> DataFrame:
+def self_contacts(segments: DataFrame, key: str = "fid", grid: float = 1e9) -> DataFrame:
     """Contacts between segments of the same feature, neighbours along a path excepted.
 
     Input ``key, cell, part, ring, i, n, x1, y1, x2, y2``; output ``key, part_a, ring_a, i_a, n_a, part_b,
@@ -112,7 +116,7 @@ def self_contacts(segments: DataFrame, key: str = "fid") -> DataFrame:
     before = ((c("a_part") < c("b_part")) | ((c("a_part") == c("b_part")) & (
         (c("a_ring") < c("b_ring")) | ((c("a_ring") == c("b_ring")) & (c("a_i") < c("b_i"))))))
     pairs = a.join(b, [key, "cx", "cy"]).filter(before)
-    hits = with_hits(pairs)
+    hits = with_hits(pairs, grid)
     same_path = (c("a_part") == c("b_part")) & (c("a_ring") == c("b_ring"))
     wraps = ((c("a_i") == 0) & (c("b_i") == c("b_n") - 1) & (c("a_x1") == c("b_x2")) & (c("a_y1") == c("b_y2")))
     neighbours = same_path & ((c("b_i") == c("a_i") + 1) | wraps)

@@ -49,9 +49,14 @@ def registry(*groups: dict[str, Layer]) -> dict[str, Layer]:
     return out
 
 
+def feature_count(layer: Layer) -> Column:
+    """Number of features: rows, but a path stored in several rows counts once."""
+    return F.count_distinct(F.col(layer.key[0])) if "seq" in layer.df.columns else F.count(F.lit(1))
+
+
 def inventory(layers: dict[str, Layer]) -> DataFrame:
-    """One row per layer: name and row count."""
-    rows = [layer.df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
+    """One row per layer: name and number of features."""
+    rows = [layer.df.agg(feature_count(layer).alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
             for name, layer in layers.items()]
     return union_all(rows)
 
@@ -135,7 +140,7 @@ def kind_of(g: Column) -> Column:
 def vector_profile(layer: Layer) -> DataFrame:
     """Feature count, sorted distinct geometry types, CRS and columns of a layer, as one row."""
     types = F.array_join(F.array_sort(F.collect_set(F.col("geometry.type"))), ",")
-    return layer.df.agg(F.count(F.lit(1)).alias("features"), types.alias("geometry_types")).select(
+    return layer.df.agg(feature_count(layer).alias("features"), types.alias("geometry_types")).select(
         F.lit(layer.name).alias("layer"), "features",
         F.when(F.col("features") == 0, "empty").otherwise(F.col("geometry_types")).alias("geometry_types"),
         F.lit(layer.epsg).cast("int").alias("epsg"), F.lit(",".join(layer.df.columns)).alias("columns"))

@@ -117,7 +117,7 @@ def _dissolve(mask: Mask) -> Mask:
     Edges are cut where features meet; a piece inside another feature is dropped, a shared border is
     kept once when both interiors lie on the same side and dropped otherwise.
     """
-    from stratalake.operators.contacts import self_contacts
+    from stratalake.operators.contacts import grid_of, self_contacts
     from stratalake.operators.repair import split_segments
     own = F.xxhash64("mid")
     length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
@@ -125,7 +125,7 @@ def _dissolve(mask: Mask) -> Mask:
     segments = mask.edges.select(
         F.lit(0).alias("one"), F.lit(size).alias("cell"), own.alias("part"), F.lit(0).alias("ring"),
         F.xxhash64("x1", "y1", "x2", "y2").alias("i"), F.lit(0).cast("long").alias("n"), "x1", "y1", "x2", "y2")
-    pieces = split_segments(segments, self_contacts(segments, "one"), "one")
+    pieces = split_segments(segments, self_contacts(segments, "one", grid_of(mask.epsg)), "one")
     pieces = pieces.withColumns({"mx": (F.col("ax") + F.col("bx")) / 2, "my": (F.col("ay") + F.col("by")) / 2})
     pieces = pieces.withColumn("band", mask.band_of(F.col("my")))
     mx, my = F.col("mx"), F.col("my")

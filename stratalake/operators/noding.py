@@ -6,21 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
-from stratalake.operators.contacts import self_contacts
+from stratalake.operators.contacts import grid_of, self_contacts
 from stratalake.operators.layers import Layer
 from stratalake.operators.lineage import materialize
 
 _ROWKEY = "_seq"
 
 
-def _stretches(layer: Layer) -> DataFrame:
+def _stretches(layer: Layer) -> tuple[DataFrame, DataFrame]:
     """Non-simple lines cut at their nodes: ``key, _seq, run, i, t0, ax, ay, bx, by``, where the pieces
-    of one ``run`` follow each other between two nodes."""
+    of one ``run`` follow each other between two nodes, over the limits of rows too; and their keys."""
     key = layer.key[0]
     df = layer.df.filter(G.is_present("geometry") & F.col("geometry.type").isin(*G.LINES))
     df = df.withColumn(_ROWKEY, F.col("seq") if "seq" in df.columns else F.lit(0).cast("long"))
     segments = G.explode_segments(df, [key, _ROWKEY])
-    hits = self_contacts(segments.drop(_ROWKEY), key)
+    hits = self_contacts(segments.drop(_ROWKEY), key, grid_of(layer.epsg))
     at = hits.select(key, F.inline(F.array(
         F.struct(F.col("part_a").alias("part"), F.col("i_a").alias("i"), F.col("ta").alias("t"), "px", "py"),
         F.struct(F.col("part_b").alias("part"), F.col("i_b").alias("i"), F.col("tb").alias("t"), "px", "py"))))
@@ -51,12 +51,12 @@ def _stretches(layer: Layer) -> DataFrame:
         ((F.col("k") > 0) | F.col("_node_start")).alias("_breaks"),
         ((F.col("k") < F.col("_m") - 1) | F.col("_node_end")).alias("_ends"))
     pieces = pieces.filter((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by")))
-    along = Window.partitionBy(key, _ROWKEY).orderBy("part", "i", "t0")
+    along = Window.partitionBy(key).orderBy("part", "i", "t0")
     fresh = (F.lag("part").over(along).isNull() | (F.lag("part").over(along) != F.col("part"))
              | F.col("_breaks") | F.lag("_ends").over(along))
     pieces = pieces.withColumn("_new", fresh.cast("int"))
-    return pieces.withColumn("run", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0))) \
-                 .drop("_new", "_breaks", "_ends")
+    return (pieces.withColumn("run", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+            .drop("_new", "_breaks", "_ends"), crossing)
 
 
 def _dissolved(pieces: DataFrame, key: str) -> DataFrame:
@@ -64,33 +64,48 @@ def _dissolved(pieces: DataFrame, key: str) -> DataFrame:
     the shuffle, so a stretch with very many copies is one row per task."""
     a, b = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")), F.struct(F.col("bx").alias("x"), F.col("by").alias("y"))
     ends = pieces.withColumns({"_lo": F.least(a, b), "_hi": F.greatest(a, b)})
-    first = F.min(F.struct(_ROWKEY, "run", "i", "t0", "ax", "ay", "bx", "by"))
+    first = F.min(F.struct("run", "i", "t0", _ROWKEY, "ax", "ay", "bx", "by"))
     return ends.groupBy(key, "_lo", "_hi").agg(first.alias("_f")).select(key, "_f.*")
 
 
-def noded_runs(layer: Layer) -> DataFrame:
-    """``key, _seq, run, length, path`` for the non-simple lines of the layer."""
+def noded_runs(layer: Layer) -> tuple[DataFrame, DataFrame]:
+    """``key, _seq, run, length, path`` for the non-simple lines of the layer, and their keys.  A run belongs to
+    the row (``_seq``) in which it starts."""
     key = layer.key[0]
-    kept = _dissolved(_stretches(layer), key)
-    return (kept.groupBy(key, _ROWKEY, "run")
-            .agg(F.array_sort(F.collect_list(F.struct("i", "t0", "ax", "ay", "bx", "by"))).alias("_p"),
+    pieces, crossing = _stretches(layer)
+    kept = _dissolved(pieces, key)
+    runs = (kept.groupBy(key, "run")
+            .agg(F.array_sort(F.collect_list(F.struct("i", "t0", "ax", "ay", "bx", "by"))).alias("_p"), F.min(_ROWKEY).alias(_ROWKEY),
                  F.sum(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).alias("length"))
             .select(key, _ROWKEY, "run", "length", F.concat(
                 F.transform("_p", lambda p: F.named_struct(F.lit("x"), p["ax"], F.lit("y"), p["ay"])),
                 F.array(G.vertex(F.element_at("_p", -1)["bx"], F.element_at("_p", -1)["by"]))).alias("path")))
+    return runs, crossing
 
 
 def node_lines(layer: Layer) -> Layer:
-    """Self-crossing lines become multi-lines with a vertex at every crossing; others are untouched."""
+    """Self-crossing lines become multi-lines with a vertex at every crossing; others are untouched.
+
+    Of a path stored in several rows, each noded row holds the parts that start in it and ``part_base``, the number
+    of parts in the rows before; a row in which none starts goes.
+    """
     key = layer.key[0]
-    parts = (noded_runs(layer).groupBy(key, _ROWKEY)
+    runs, crossing = noded_runs(layer)
+    several = "seq" in layer.df.columns
+    parts = (runs.groupBy(key, _ROWKEY)
              .agg(F.array_sort(F.collect_list(F.struct("run", "path"))).alias("_runs"))
-             .select(key, _ROWKEY, G.from_parts(F.transform("_runs", lambda r: F.array(r["path"])), "LineString")
+             .select(key, _ROWKEY, F.size("_runs").alias("_n"), G.from_parts(F.transform("_runs", lambda r: F.array(r["path"])), "LineString")
                      .alias("_noded")))
-    df = layer.df.withColumn(_ROWKEY, F.col("seq") if "seq" in layer.df.columns else F.lit(0).cast("long"))
+    df = layer.df.withColumn(_ROWKEY, F.col("seq") if several else F.lit(0).cast("long"))
+    if several:
+        before = Window.partitionBy(key).orderBy(_ROWKEY).rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("part_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        df = df.drop("part_base").join(crossing.withColumn("_crossing", F.lit(True)), key, "left")
     out = df.join(parts, [key, _ROWKEY], "left")
+    if several:
+        out = out.filter(F.col("_crossing").isNull() | F.col("_noded").isNotNull())
     # A noded row no longer follows the numbering of the path it came from.
     for c in [c for c in ("seg_base", "seg_total", "seg_cell") if c in df.columns]:
         out = out.withColumn(c, F.when(F.col("_noded").isNull(), F.col(c)))
     out = out.withColumn("geometry", F.coalesce("_noded", "geometry"))
-    return layer.with_df(out.select(*layer.df.columns))
+    return layer.with_df(out.select(*[c for c in layer.df.columns if c != "part_base"], *(["part_base"] if several else [])))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
 from stratalake.functions.rings import stitch_batches
-from stratalake.operators.contacts import self_contacts
+from stratalake.operators.contacts import grid_of, self_contacts
 from stratalake.operators.layers import Layer, union_all, with_kinds
 from stratalake.operators.lineage import materialize
 from stratalake.operators.noding import node_lines
@@ -83,19 +83,20 @@ def stitch(pieces: DataFrame, key: str) -> DataFrame:
     return rings.select(key, G.from_parts(parts, "Polygon").alias("geometry"))
 
 
-def repaired_pieces(invalid: DataFrame, key: str) -> DataFrame:
+def repaired_pieces(invalid: DataFrame, key: str, grid: float = 1e9) -> DataFrame:
     """Directed outline pieces of the even-odd fill of each polygon in ``key, geometry``."""
     close = lambda r: F.when(F.element_at(r, 1) != F.element_at(r, -1), F.concat(r, F.array(r[0]))).otherwise(r)
     parts = F.transform("geometry.parts", lambda rings: F.filter(
         F.transform(rings, close), lambda r: F.size(r) >= 4))
     closed = invalid.select(key, G.geometry(F.lit("Polygon"), parts).alias("geometry"))
     segments = G.explode_segments(closed, [key])
-    pieces = split_segments(segments, self_contacts(segments, key), key)
+    pieces = split_segments(segments, self_contacts(segments, key, grid), key)
     return direct_pieces(cancel_doubled(pieces, key), key)
 
 
 def repair_polygons(layer: Layer) -> Layer:
-    """Replace invalid polygons by their even-odd fill; every other row is kept as it is.
+    """Replace invalid polygons by their even-odd fill; every other row is kept as it is.  A polygon whose
+    fill is empty (collapsed rings) gets a NULL geometry.
 
     The invalid polygons alone are checkpointed: the steps that follow read them several times and
     must not repeat the search for them.
@@ -103,8 +104,10 @@ def repair_polygons(layer: Layer) -> Layer:
     key = layer.key[0]
     polygons = layer.with_df(layer.df.filter(F.col("geometry.type").isin(*G.POLYGONS)).select(*layer.key, "geometry"))
     broken = materialize(with_validity(polygons).filter(~F.col("valid")).select(key, "geometry"))
-    fixed = stitch(repaired_pieces(broken, key), key).withColumnRenamed("geometry", "_fixed")
-    out = layer.df.join(fixed, key, "left").withColumn("geometry", F.coalesce("_fixed", "geometry"))
+    fixed = stitch(repaired_pieces(broken, key, grid_of(layer.epsg)), key).withColumnRenamed("geometry", "_fixed")
+    mended = broken.select(key).distinct().withColumn("_broken", F.lit(True)).join(fixed, key, "left")
+    out = layer.df.join(mended, key, "left").withColumn("geometry", F.when(
+        F.col("_broken") & F.col("geometry.type").isin(*G.POLYGONS), F.when(G.is_present("_fixed"), F.col("_fixed"))).otherwise(F.col("geometry")))
     return layer.with_df(out.select(*layer.df.columns))
 
 
@@ -114,6 +117,7 @@ def repair_layer(layer: Layer, drop_null: bool = True) -> Layer:
     layer = drop_missing(layer) if drop_null else layer
     if layer.may_hold("polygon"):
         layer = repair_polygons(layer)
+        layer = drop_missing(layer) if drop_null else layer
     if layer.may_hold("line"):
         layer = node_lines(layer)
     return layer

@@ -114,9 +114,17 @@ def textured_terrain(mesh: DataFrame, ortho: Raster) -> DataFrame:
 
 def drape_vertices(layer: Layer, rings: str = "outer") -> DataFrame:
     """Ordered vertices to drape: ``key.., kind, part, ring, i, lon, lat``.  Of polygons the outer
-    rings, or ``rings="all"``."""
+    rings, or ``rings="all"``.  Vertices of a path stored in several rows are numbered along the whole
+    path, and the vertex that two rows share is given once."""
     df = layer.df.filter(G.is_present("geometry")).withColumn("kind", kind_of(F.col("geometry")))
-    out = G.explode_vertices(df, [*layer.key, "kind"])
+    bases = [c for c in ("seg_base", "part_base") if c in df.columns]
+    out = G.explode_vertices(df, [*layer.key, "kind", *bases])
+    if "seg_base" in bases:
+        base = F.coalesce("seg_base", F.lit(0))
+        out = out.filter((base == 0) | (F.col("i") > 0)).withColumn("i", F.col("i") + base)
+    if "part_base" in bases:
+        out = out.withColumn("part", F.col("part") + F.coalesce("part_base", F.lit(0)))
+    out = out.drop(*bases)
     if rings == "outer":
         out = out.filter((F.col("kind") != "polygon") | (F.col("ring") == 0))
     return out.withColumnsRenamed({"x": "lon", "y": "lat"})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
-from stratalake.operators.contacts import self_contacts
+from stratalake.operators.contacts import grid_of, self_contacts
 from stratalake.operators.layers import Layer
 
 # Reason texts, in the order in which they are reported.
@@ -77,9 +77,9 @@ def _nesting_reason() -> Column:
     return F.when(has_holes & stray_hole, 7).when((F.size(parts) > 1) & nested, 8)
 
 
-def _contact_faults(polygons: DataFrame, key: str) -> DataFrame:
+def _contact_faults(polygons: DataFrame, key: str, grid: float) -> DataFrame:
     """Per feature the first fault found where ring segments meet: code and location."""
-    hits = self_contacts(G.explode_segments(polygons, [key]), key)
+    hits = self_contacts(G.explode_segments(polygons, [key]), key, grid)
     same_ring = (F.col("part_a") == F.col("part_b")) & (F.col("ring_a") == F.col("ring_b"))
     same_part = F.col("part_a") == F.col("part_b")
     code = F.when(F.col("kind").isin("cross", "overlap"), 4).when(same_ring, 5)
@@ -114,7 +114,7 @@ def with_validity(layer: Layer) -> DataFrame:
         return df.select(*layer.df.columns, F.col("_row").isNull().alias("valid"), _reason_text("_row").alias("reason"),
                          none.alias("reason_x"), none.alias("reason_y"))
     polygons = df.filter(F.col("_row").isNull() & _is_polygon()).select(key, "geometry")
-    faults = _contact_faults(polygons, key)
+    faults = _contact_faults(polygons, key, grid_of(layer.epsg))
     joined = df.join(faults, key, "left")
     nesting = F.when(F.col("_row").isNull() & _is_polygon() & F.col("_fault").isNull(), _nesting_reason())
     joined = joined.withColumn("_code", F.coalesce("_row", "_fault.code", nesting))
@@ -136,7 +136,7 @@ def line_faults(layer: Layer) -> DataFrame:
     """
     key = layer.key[0]
     lines = layer.df.filter(G.is_present("geometry") & _is_line())
-    hits = self_contacts(G.explode_segments(lines, [key]), key)
+    hits = self_contacts(G.explode_segments(lines, [key]), key, grid_of(layer.epsg))
     c = F.col
     end_a = ((c("i_a") == 0) & (c("ta") == 0)) | ((c("i_a") == c("n_a") - 1) & (c("ta") == 1))
     end_b = ((c("i_b") == 0) & (c("tb") == 0)) | ((c("i_b") == c("n_b") - 1) & (c("tb") == 1))

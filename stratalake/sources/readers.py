@@ -85,16 +85,20 @@ def read_geojson(spark: SparkSession, path: str, name: str, lines: bool = False,
                  properties: list[str] | None = None) -> Layer:
     """GeoJSON feature collections, or one feature per line (``lines``), the form that splits over
     tasks however large the file is.  Properties become text columns; name them to save the pass that
-    looks for their names.  A ``crs`` member naming an EPSG code is honoured."""
+    looks for their names.  A ``crs`` member naming an EPSG code is honoured.  Records that are no features, or
+    files cut short, raise an error with their number."""
     epsg = 4326
     if lines:
-        features = spark.read.text(path).select(F.from_json("value", _FEATURE).alias("f")).select("f.*")
+        filled = spark.read.text(path).filter(F.trim("value") != "").select(F.from_json("value", _FEATURE).alias("f"))
+        _require_readable(filled.agg(F.count_if(F.col("f.type").isNull())).first()[0], name)
+        features = filled.select("f.*")
     else:
-        raw = spark.read.option("multiLine", True).schema(
-            f"type string, crs struct<properties:struct<name:string>>, features array<{_FEATURE}>").json(path)
-        named = raw.select(F.regexp_extract("crs.properties.name", "EPSG:+(\\d+)$", 1).alias("code")) \
-                   .filter("code <> ''").first()
-        epsg = int(named["code"]) if named else 4326
+        raw = spark.read.option("multiLine", True).option("columnNameOfCorruptRecord", "_bad").schema(
+            f"type string, crs struct<properties:struct<name:string>>, features array<{_FEATURE}>, _bad string").json(path)
+        code = F.nullif(F.regexp_extract("crs.properties.name", "EPSG:+(\\d+)$", 1), F.lit(""))
+        seen = raw.agg(F.max(code).alias("code"), F.count_if(F.col("_bad").isNotNull() | F.col("features").isNull()).alias("bad")).first()
+        _require_readable(seen["bad"], name)
+        epsg = int(seen["code"] or 4326)
         features = raw.select(F.inline("features"))
     if properties is None:
         keys = features.select(F.explode(F.map_keys("properties")).alias("k")).distinct().collect()
@@ -104,8 +108,21 @@ def read_geojson(spark: SparkSession, path: str, name: str, lines: bool = False,
     return Layer(name, with_fid(_typed_fid(G.settle(df))), epsg)
 
 
+def _require_readable(bad: int, name: str) -> None:
+    if bad:
+        raise ValueError(f"[{name}] {bad} record(s) that cannot be read")
+
+
 def _typed_fid(df: DataFrame) -> DataFrame:
-    return df.withColumn("fid", F.col("fid").cast("long")) if "fid" in df.columns else df
+    """A source's own ``fid`` names its rows if it is a whole number in each and never repeated; otherwise it stays
+    as ``source_fid`` and the rows are numbered."""
+    if "fid" not in df.columns:
+        return df
+    number = F.col("fid").try_cast("long")
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.count(number).alias("numbers"), F.count_distinct(number).alias("distinct")).first()
+    if seen["rows"] == seen["numbers"] == seen["distinct"]:
+        return df.withColumn("fid", number)
+    return df.withColumnRenamed("fid", "source_fid")
 
 
 _KML_SHAPES = ("Point struct<coordinates:string>, LineString struct<coordinates:string>, "
@@ -132,9 +149,11 @@ def _kml_rings(p: Column) -> Column:
 
 
 def read_kml(spark: SparkSession, path: str, name: str) -> Layer:
-    """Placemarks of KML files, always EPSG:4326."""
-    rows = (spark.read.format("xml").option("rowTag", "Placemark")
-            .schema(f"name string, description string, {_KML_SHAPES}").load(path))
+    """Placemarks of KML files, always EPSG:4326.  What is no XML raises an error."""
+    rows = (spark.read.format("xml").option("rowTag", "Placemark").option("columnNameOfCorruptRecord", "_bad")
+            .schema(f"name string, description string, _bad string, {_KML_SHAPES}").load(path))
+    seen = rows.agg(F.count("name"), F.count("_bad").alias("bad")).first()
+    _require_readable(seen["bad"], name)
     many = F.col("MultiGeometry")
     single = (F.when(F.col("Point").isNotNull(), G.geometry("Point", F.array(F.array(_kml_path(F.col("Point.coordinates"))))))
               .when(F.col("LineString").isNotNull(), G.linestring(_kml_path(F.col("LineString.coordinates"))))

@@ -1,10 +1,13 @@
-"""NULL join keys spread, dates of many forms, NaN pixels, nodata before merging, filters that reach the scan."""
+"""NULL join keys spread, dates of many forms, NaN pixels, nodata before merging, filters that reach the scan,
+paths in several rows, collapsed polygons, unreadable files."""
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from stratalake.operators import joins, raster, schema
+from stratalake.operators import audit, joins, layers, noding, raster, repair, schema, terrain, validity
+from stratalake.operators.layers import Layer
 from stratalake.operators.raster import RasterMeta
 from stratalake.plans.config import RasterSource, VectorSource
 from stratalake.sources import readers, writers
@@ -60,3 +63,56 @@ def test_filter_reaches_the_scan(spark, tmp_path):
     layer = readers.read_vector(spark, VectorSource("x", path, filter_expr="n > 7"))
     plan = layer.df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(n,7)" in plan and layer.df.count() == 2
+
+
+@pytest.mark.parametrize("rows", [2, 3])
+def test_a_path_in_several_rows_gives_the_same(spark, rows):
+    points = {1: [(0, 0), (4, 4), (4, 0), (0, 4), (0, 6), (2, 6), (5, 6)], 2: [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 0)],
+              3: [(0, 0), (1, 0), (2, 0), (3, 0), (2, 0), (1, 0), (0, 0)], 4: [(0, 0), (1, 1)]}
+    vertices = spark.createDataFrame([(f, k, float(x), float(y)) for f, path in points.items() for k, (x, y) in enumerate(path)],
+                                     "fid long, k long, x double, y double")
+    numbered = layers.path_vertices(vertices, "fid", ["k"])
+
+    def of(n):
+        return Layer("lines", layers.assemble_paths(numbered, rows=n), 4326, ("fid", "seq"), frozenset({"line"}))
+
+    def seen(layer):
+        columns = ["fid", "part", "i", "lon", "lat"]
+        noded = noding.node_lines(layer)
+        return (sorted(map(tuple, terrain.drape_vertices(layer).select(*columns).collect())),
+                sorted(map(tuple, terrain.drape_vertices(noded).select(*columns).collect())),
+                sorted(map(tuple, validity.line_faults(noded).collect())),
+                layers.inventory({"lines": layer}).first()["n_rows"], layers.vector_profile(noded).first()["features"])
+
+    assert seen(of(rows)) == seen(of(1000))
+
+
+def test_collapsed_polygons_leave(spark):
+    shapes = [[(0, 0), (1, 1), (2, 2), (0, 0)], [(0, 0), (1, 1), (0, 0), (0, 0)], [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)], [(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]]
+    df = spark.createDataFrame([(k, ("Polygon", [[[(float(x), float(y)) for x, y in ring]]])) for k, ring in enumerate(shapes)],
+                               "fid long, geometry struct<type:string,parts:array<array<array<struct<x:double,y:double>>>>>")
+    layer = Layer("p", df, 4326, kinds=frozenset({"polygon"}))
+    assert {r["fid"]: r["geometry"] is None for r in repair.repair_polygons(layer).df.collect()} == {0: True, 1: True, 2: False, 3: False}
+    rate = validity.validity_rate(repair.repair_layer(layer)).first()
+    assert (rate["n_rows"], rate["rate"]) == (2, 1.0)
+
+
+@pytest.mark.parametrize("ending, content", [
+    ("geojson", '{"type":"FeatureCollection","features":[{"type":"Feature","geometry":null,"properties":{"a":"b"}},{"ty'),
+    ("geojson", '{"type":"FeatureCollection"}'),
+    ("geojsonl", '{"type":"Feature","geometry":null,"properties":{"a":"b"}}\n\n{"type":"Feat'), ("kml", "no xml at all")])
+def test_bad_files_are_errors(spark, tmp_path, ending, content):
+    path = tmp_path / f"x.{ending}"
+    path.write_text(content)
+    with pytest.raises(ValueError, match="cannot be read"):
+        readers.read_vector(spark, VectorSource("x", str(path)))
+    assert "cannot be read" in audit._readable(spark, "vector", VectorSource("x", str(path)), str(path))
+
+
+@pytest.mark.parametrize("fids", ['"A-1", 2', "7, 7", "null, 1"])
+def test_a_fid_that_names_no_rows_is_an_attribute(spark, tmp_path, fids):
+    path = tmp_path / "x.geojsonl"
+    path.write_text("\n".join('{"type":"Feature","geometry":{"type":"Point","coordinates":[1,2]},"properties":{"fid":%s}}' % f
+                              for f in fids.split(", ")))
+    rows = readers.read_vector(spark, VectorSource("x", str(path))).df.collect()
+    assert len({r["fid"] for r in rows}) == 2 and [r["source_fid"] for r in rows] == [None if f == "null" else f.strip('"') for f in fids.split(", ")]
