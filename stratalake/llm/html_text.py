@@ -5,14 +5,20 @@ visibility rules drop what a browser does not show, and a renderer lays out what
 their own with a blank line around paragraphs and headings, bullets or numbers before list items, indented
 nested lists, preformatted text as it is, and table cells padded to the width of their column.
 
-Defined results: NULL html gives NULL text; empty html gives the empty text.  Broken markup never fails: stray end tags
-are ignored, open elements end with the page.  Repeated rows are rendered each; extra columns are kept,
-but one named ``text`` gives way to the result.
+Hidden are what browsers hide: scripts and the like, ``hidden``, ``display:none``, closed dialogs, closed details but for
+their summary, and ``visibility:hidden`` but for descendants made visible again.  Cells over ``WIDEST_CELL`` characters don't
+widen their column, so that one long cell doesn't pad all other rows.
+
+Defined results: NULL html gives NULL text; empty html gives the empty text.  Broken markup never fails and takes time
+in proportion to its length: stray end tags are ignored, a tag, comment or quoted value that never ends takes the rest of
+the page, open elements end with the page.  Repeated rows are rendered each; extra columns are kept, but one named
+``text`` gives way to the result.
 """
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +28,9 @@ from stratalake.llm.common import table
 
 # Fixed sets of the HTML standard.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style template noscript title iframe object audio video canvas svg math select datalist textarea".split())
+HIDDEN = set("head script style template noscript title iframe object audio video canvas svg math datalist noembed noframes".split())
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3
- h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption""".split())
+ h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption option optgroup textarea""".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl pre table figure".split())
 #: A start tag closes these open elements, unless one of the barriers stands between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -32,58 +38,131 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"tbody", "tr", "td", "th"}, {"table"}),
           "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 PARAGRAPH_ENDS = BLOCK - {"html", "body", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd"} | {"hr"}
+#: Elements whose content is text up to their own end tag; those of the second set may hold character references.
+RAW, ESCAPED_RAW = set("script style xmp iframe noembed noframes".split()), {"title", "textarea"}
+PREFORMATTED = {"pre", "textarea", "xmp", "listing"}
 SCOPES = {"table", "td", "th", "caption", "button", "html"}
 #: Elements nested deeper than this are attached to their ancestor at that depth, so no page overflows the stack.
 DEEPEST = 150
+WIDEST_CELL = 120
+
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_ATTRIBUTE = re.compile(r"[\s/]*+(=?[^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([\"'])|([^\s>]*+)))?+")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW | ESCAPED_RAW}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "shown", "pre")
 
-    def __init__(self, tag: str, attrs: dict):
+    def __init__(self, tag: str, attrs: dict, parent: Node | None = None):
         self.tag, self.attrs, self.children = tag, attrs, []
+        style = self.style()
+        self.pre = tag in PREFORMATTED or "white-space:pre" in style or parent is not None and parent.pre
+        self.shown = ("visibility:visible" in style or parent is None or parent.shown) and not (
+            "visibility:hidden" in style or "visibility:collapse" in style)
+
+    def style(self) -> str:
+        return "".join((self.attrs.get("style") or "").split()).lower()
 
     def visible(self) -> bool:
-        style = (self.attrs.get("style") or "").replace(" ", "").lower()
-        return not (self.tag in HIDDEN or "hidden" in self.attrs or "display:none" in style or "visibility:hidden" in style
+        return not (self.tag in HIDDEN or "hidden" in self.attrs or "display:none" in self.style()
                     or self.tag == "dialog" and "open" not in self.attrs)
 
 
-class TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
+class TreeBuilder:
+    """Elements and texts of a page in one pass over it."""
+
+    def __init__(self, page: str):
         self.root = Node("html", {})
         self.stack = [self.root]
+        at = 0
+        while at < len(page):
+            at = self.step(page, at)
+
+    def step(self, page: str, at: int) -> int:
+        """Takes one text, comment or tag from ``at`` on and tells where the next begins."""
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = end if end >= 0 else len(page)
+            self.text(unescape(page[at:end]))
+            return end
+        following = page[at + 1:at + 2]
+        if page.startswith("<!--", at):
+            ends = [page.find(mark, at + 2) for mark in ("-->", "--!>")]
+            ends = [e + 3 + k for k, e in enumerate(ends) if e >= 0]
+            return min(ends, default=len(page))
+        if following == "/" and (name := _NAME.match(page, at + 2)):
+            end = page.find(">", name.end())
+            self.end(name[0].lower())
+            return end + 1 if end >= 0 else len(page)
+        if following and following in "!?/":  # declarations and what browsers take for a comment
+            end = page.find(">", at)
+            return end + 1 if end >= 0 else len(page)
+        if name := _NAME.match(page, at + 1):
+            return self.start_tag(page, name[0].lower(), name.end())
+        self.text("<")
+        return at + 1
+
+    def start_tag(self, page: str, tag: str, at: int) -> int:
+        attrs: dict[str, str | None] = {}
+        while True:
+            found = _ATTRIBUTE.match(page, at)
+            at = found.end()
+            if found[1]:
+                if found[4]:
+                    return len(page)  # a quoted value that never ends
+                value = next((found[k] for k in (2, 3, 5) if found[k] is not None), None)
+                attrs.setdefault(found[1].lower(), None if value is None else unescape(value))
+            if at >= len(page):
+                return at
+            if page[at] == ">":
+                break
+        at += 1
+        node = self.start(tag, attrs)
+        if tag == "plaintext":
+            node.children.append(page[at:])
+            return len(page)
+        if tag not in _RAW_END:
+            return at
+        end = _RAW_END[tag].search(page, at)
+        raw = page[at:end.start() if end else len(page)]
+        node.children.append(unescape(raw) if tag in ESCAPED_RAW else raw)
+        if not end:
+            return len(page)
+        close = page.find(">", end.end())
+        return close + 1 if close >= 0 else len(page)
 
     def close_open(self, tags: set[str], barriers: set[str]) -> None:
+        """Ends the open elements of these tags, outermost included, up to a barrier."""
+        cut = None
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag in barriers:
-                return
+                break
             if self.stack[k].tag in tags:
-                del self.stack[k:]
-                # go on: a row also ends its cell's row
-                return self.close_open(tags, barriers)
+                cut = k
+        if cut is not None:
+            del self.stack[cut:]
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, attrs: dict) -> Node:
         if tag == "html":
-            return
+            return self.root
         if tag in PARAGRAPH_ENDS:
             self.close_open({"p"}, SCOPES)
         if tag in CLOSES:
             self.close_open(*CLOSES[tag])
         if self.stack[-1].tag == "head" and tag not in HIDDEN and tag not in VOID:
             self.stack.pop()  # content begins: the head ends by itself
-        node = Node(tag, dict(attrs))
+        node = Node(tag, attrs, self.stack[-1])
         self.stack[-1].children.append(node)
-        if tag not in VOID and len(self.stack) < DEEPEST:
+        # At the greatest depth a hidden element still holds its content, so that it stays hidden.
+        deep = len(self.stack) - DEEPEST
+        if tag not in VOID and tag not in _RAW_END and (deep < 0 or deep == 0 and not (node.visible() and node.shown)):
             self.stack.append(node)
+        return node
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         if tag == "br":
-            self.handle_starttag("br", [])
+            self.start("br", {})
         elif tag not in ("html", "body"):
             for k in range(len(self.stack) - 1, 0, -1):
                 if self.stack[k].tag == tag:
@@ -92,7 +171,7 @@ class TreeBuilder(HTMLParser):
                 if self.stack[k].tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
                     return
 
-    def handle_data(self, data):
+    def text(self, data: str) -> None:
         self.stack[-1].children.append(data)
 
 
@@ -157,19 +236,22 @@ def table_lines(node: Node) -> list[str]:
     for child in node.children:
         if isinstance(child, Node) and child.visible() and child.tag not in ("tr", "tbody", "thead", "tfoot", "colgroup", "col"):
             out.add(block_lines(child))
-        elif isinstance(child, str):
+        elif isinstance(child, str) and node.shown:
             out.inline(child)
     out.end_line()
     rows = []
     for row in rows_of(node):
         cells: list[list[str]] = []
         for cell in row.children:
-            if isinstance(cell, str) and not cell.strip() or isinstance(cell, Node) and not cell.visible():
+            if isinstance(cell, str) and not (cell.strip() and row.shown) or isinstance(cell, Node) and not cell.visible():
                 continue
             lines = [line for line in block_lines(cell)] if isinstance(cell, Node) else [" ".join(cell.split())]
             cells += [lines] + [[]] * (span(cell) - 1 if isinstance(cell, Node) else 0)
         rows.append(cells)
-    widths = [max((len(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(max(map(len, rows), default=0))]
+    widths = [0] * max(map(len, rows), default=0)
+    for cells in rows:
+        for k, lines in enumerate(cells):
+            widths[k] = max([widths[k], *(len(x) for x in lines if len(x) <= WIDEST_CELL)])
     for cells in rows:
         for k in range(max(map(len, cells), default=0)):
             line = "  ".join((c[k] if k < len(c) else "").ljust(w) for c, w in zip(cells, widths)).rstrip(" ")
@@ -188,12 +270,24 @@ def indented(lines: list[str], first: str) -> list[str]:
     return [(first if not k else " " * len(first)) + x if x else "" for k, x in enumerate(lines)]
 
 
+def whole(value: str | None) -> int | None:
+    return int(value) if value and value.isascii() and value.isdigit() and len(value) < 10 else None
+
+
 def render(node: Node, out: Lines) -> None:
-    number = int(s) if node.tag == "ol" and (s := node.attrs.get("start") or "1").isascii() and s.isdigit() and len(s) < 10 else 1
+    number = whole(node.attrs.get("start")) if node.tag == "ol" else None
+    number = 1 if number is None else number
+    closed = node.tag == "details" and "open" not in node.attrs
     for child in node.children:
+        if closed and not (isinstance(child, Node) and child.tag == "summary"):
+            continue
         if isinstance(child, str):
-            if node.tag == "pre":
-                parts = child.expandtabs(4).split("\n")
+            if not node.shown:
+                continue
+            if node.pre:
+                if node.tag in PREFORMATTED and child is node.children[0]:
+                    child = child.removeprefix("\r").removeprefix("\n")
+                parts = child.expandtabs(4).replace("\r\n", "\n").split("\n")
                 for k, part in enumerate(parts):
                     out.open += part
                     if k < len(parts) - 1:
@@ -204,17 +298,22 @@ def render(node: Node, out: Lines) -> None:
         if not child.visible():
             continue
         if child.tag == "br":
-            out.end_line(keep_empty=bool(out.open))
+            if out.open:
+                out.end_line(keep_empty=True)
+            else:
+                out.blank = True
         elif child.tag == "hr":
             out.space()
         elif child.tag == "img":
-            if child.attrs.get("alt"):
+            if child.attrs.get("alt") and child.shown:
                 out.inline(" " + child.attrs["alt"] + " ")
         elif child.tag == "table":
             out.space()
             out.add(table_lines(child))
             out.space()
         elif child.tag == "li":
+            value = whole(child.attrs.get("value"))
+            number = number if value is None else value
             mark = "- " if node.tag != "ol" else f"{number}. "
             number += 1
             out.add(indented(block_lines(child), mark))
@@ -235,10 +334,7 @@ def render(node: Node, out: Lines) -> None:
 def rendered(html: str | None) -> str | None:
     if html is None:
         return None
-    builder = TreeBuilder()
-    builder.feed(html)
-    builder.close()
-    return "\n".join(block_lines(builder.root))
+    return "\n".join(block_lines(TreeBuilder(html).root))
 
 
 def extract(pages: DataFrame) -> DataFrame:
