@@ -19,6 +19,7 @@ REASONS = [
     "Ring Self-intersection",
     "Interior is disconnected",
     "Hole lies outside shell",
+    "Holes are nested",
     "Nested shells",
 ]
 
@@ -63,18 +64,43 @@ def _outside_ring(ring: Column, v: Column) -> Column:
     return ~odd & ~F.exists(segs, lambda s: G.on_segment(*args(s)))
 
 
+def _boxed(rings: Column, i: Column) -> Column:
+    """A list of rings with its number and the box of the first."""
+    xs, ys = F.transform(rings[0], lambda v: v["x"]), F.transform(rings[0], lambda v: v["y"])
+    return F.named_struct(F.lit("i"), i, F.lit("rings"), rings, F.lit("x1"), F.array_min(xs), F.lit("x2"), F.array_max(xs),
+                          F.lit("y1"), F.array_min(ys), F.lit("y2"), F.array_max(ys))
+
+
+def _any_within(groups: Column) -> Column:
+    """True if the first ring of one of these lists of rings runs through the inside of another list.
+
+    Rings here meet in single points at most, so the middles of edges and the vertices tell.  Only lists whose boxes
+    meet are compared further.
+    """
+    boxed = F.transform(groups, _boxed)
+
+    def runs_through(own: Column, other: Column) -> Column:
+        meet = ((own["i"] != other["i"]) & (own["x1"] <= other["x2"]) & (other["x1"] <= own["x2"])
+                & (own["y1"] <= other["y2"]) & (other["y1"] <= own["y2"]))
+        middle = lambda s: F.named_struct(F.lit("x"), (s["a"]["x"] + s["b"]["x"]) / 2, F.lit("y"), (s["a"]["y"] + s["b"]["y"]) / 2)
+        return meet & F.exists(G.path_segments(own["rings"][0]), lambda s: _inside_rings(other["rings"], s["a"])
+                               | _inside_rings(other["rings"], middle(s)))
+
+    return F.exists(boxed, lambda own: F.exists(boxed, lambda other: runs_through(own, other)))
+
+
 def _nesting_reason() -> Column:
-    """Holes out of their shell, and parts inside other parts.  Only rows with holes or several
+    """Holes out of their shell or inside other holes, and parts inside other parts.  Only rows with holes or several
     parts evaluate this."""
     parts = F.col("geometry.parts")
     has_holes = F.exists(parts, lambda rings: F.size(rings) > 1)
+    several_holes = F.exists(parts, lambda rings: F.size(rings) > 2)
+    holes = lambda rings: F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
     stray_hole = F.exists(parts, lambda rings: F.exists(
-        F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0))),
-        lambda hole: F.exists(hole, lambda v: _outside_ring(rings[0], v))))
-    nested = F.exists(F.transform(parts, lambda p, i: F.named_struct(F.lit("i"), i, F.lit("v"), p[0][0])),
-                      lambda own: F.exists(F.transform(parts, lambda q, j: F.named_struct(F.lit("j"), j, F.lit("q"), q)),
-                                           lambda other: (other["j"] != own["i"]) & _inside_rings(other["q"], own["v"])))
-    return F.when(has_holes & stray_hole, 7).when((F.size(parts) > 1) & nested, 8)
+        holes(rings), lambda hole: F.exists(hole, lambda v: _outside_ring(rings[0], v))))
+    nested_holes = F.exists(parts, lambda rings: _any_within(F.transform(holes(rings), lambda h: F.array(h))))
+    return (F.when(has_holes & stray_hole, 7).when(several_holes & nested_holes, 8)
+             .when((F.size(parts) > 1) & _any_within(parts), 9))
 
 
 def _contact_faults(polygons: DataFrame, key: str, grid: float) -> DataFrame:

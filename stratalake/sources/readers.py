@@ -19,7 +19,8 @@ MISSING_TEXT = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-
 META_SCHEMA = ("raster string, epsg int, x0 double, y0 double, dx double, dy double, width int, height int, "
                "bands int, nodata double, dtype string")
 
-_FEATURE = "struct<type:string,geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
+_FEATURE = ("struct<type:string,geometry:struct<type:string,coordinates:string,"
+            "geometries:array<struct<type:string,coordinates:string>>>,properties:map<string,string>>")
 
 
 def require_columns(columns: list[str], lon_col: str, lat_col: str, name: str) -> None:
@@ -81,11 +82,25 @@ def geojson_geometry(kind: Column, coordinates: Column) -> Column:
     return F.when(kind.isNotNull() & parts.isNotNull(), G.geometry(kind, parts))
 
 
+def geojson_pieces(g: Column) -> Column:
+    """The geometry of a GeoJSON member as an array: one, or for a collection one for each kind it holds."""
+    members = F.transform(g["geometries"], lambda m: geojson_geometry(m["type"], m["coordinates"]))
+    return F.when(g["type"] == "GeometryCollection", by_kind(members)).otherwise(F.array(geojson_geometry(g["type"], g["coordinates"])))
+
+
+def by_kind(members: Column) -> Column:
+    """Points, lines and polygons among the members, each kind put together."""
+    def of(types: tuple[str, str]) -> Column:
+        own = F.filter(members, lambda m: m["type"].isin(*types))
+        return G.from_parts(F.flatten(F.transform(own, lambda m: m["parts"])), types[0])
+    return F.array_compact(F.array(*[of(t) for t in (G.POINTS, G.LINES, G.POLYGONS)]))
+
+
 def read_geojson(spark: SparkSession, path: str, name: str, lines: bool = False,
                  properties: list[str] | None = None) -> Layer:
     """GeoJSON feature collections, or one feature per line (``lines``), the form that splits over
     tasks however large the file is.  Properties become text columns; name them to save the pass that
-    looks for their names.  A ``crs`` member naming an EPSG code is honoured.  Records that are no features, or
+    looks for their names.  A geometry collection gives one row for each kind it holds.  A ``crs`` member naming an EPSG code is honoured.  Records that are no features, or
     files cut short, raise an error with their number."""
     epsg = 4326
     if lines:
@@ -104,7 +119,7 @@ def read_geojson(spark: SparkSession, path: str, name: str, lines: bool = False,
         keys = features.select(F.explode(F.map_keys("properties")).alias("k")).distinct().collect()
         properties = sorted(r["k"] for r in keys)
     df = features.select(*[F.col("properties")[p].alias(p) for p in properties],
-                         geojson_geometry(F.col("geometry.type"), F.col("geometry.coordinates")).alias("geometry"))
+                         F.explode_outer(geojson_pieces(F.col("geometry"))).alias("geometry"))
     return Layer(name, with_fid(_typed_fid(G.settle(df))), epsg)
 
 
@@ -149,33 +164,40 @@ def _kml_rings(p: Column) -> Column:
 
 
 def read_kml(spark: SparkSession, path: str, name: str) -> Layer:
-    """Placemarks of KML files, always EPSG:4326.  What is no XML raises an error."""
+    """Placemarks of KML files, always EPSG:4326.  A MultiGeometry gives one row for each kind it holds.  What is no XML
+    raises an error."""
     rows = (spark.read.format("xml").option("rowTag", "Placemark").option("columnNameOfCorruptRecord", "_bad")
             .schema(f"name string, description string, _bad string, {_KML_SHAPES}").load(path))
     seen = rows.agg(F.count("name"), F.count("_bad").alias("bad")).first()
     _require_readable(seen["bad"], name)
     many = F.col("MultiGeometry")
-    single = (F.when(F.col("Point").isNotNull(), G.geometry("Point", F.array(F.array(_kml_path(F.col("Point.coordinates"))))))
-              .when(F.col("LineString").isNotNull(), G.linestring(_kml_path(F.col("LineString.coordinates"))))
-              .when(F.col("Polygon").isNotNull(), G.geometry("Polygon", F.array(_kml_rings(F.col("Polygon")))))
-              .when(F.size(many["Polygon"]) > 0, G.geometry("MultiPolygon", F.transform(many["Polygon"], _kml_rings)))
-              .when(F.size(many["LineString"]) > 0, G.geometry("MultiLineString", F.transform(
-                  many["LineString"], lambda p: F.array(_kml_path(p["coordinates"])))))
-              .when(F.size(many["Point"]) > 0, G.geometry("MultiPoint", F.transform(
-                  many["Point"], lambda p: F.array(_kml_path(p["coordinates"]))))))
-    return Layer(name, with_fid(G.settle(rows.select(F.col("name").alias("Name"), "description", single.alias("geometry")))), 4326)
+    points = F.transform(many["Point"], lambda p: F.array(F.array(_kml_path(p["coordinates"])[0])))
+    lines = F.transform(many["LineString"], lambda p: F.array(_kml_path(p["coordinates"])))
+    polygons = F.transform(many["Polygon"], _kml_rings)
+    shapes = F.array_compact(F.array(
+        F.when(F.col("Point").isNotNull(), G.geometry("Point", F.array(F.array(_kml_path(F.col("Point.coordinates")))))),
+        F.when(F.col("LineString").isNotNull(), G.linestring(_kml_path(F.col("LineString.coordinates")))),
+        F.when(F.col("Polygon").isNotNull(), G.geometry("Polygon", F.array(_kml_rings(F.col("Polygon"))))),
+        *[F.when(F.size(parts) > 0, G.geometry(kind, parts))
+          for kind, parts in (("MultiPoint", points), ("MultiLineString", lines), ("MultiPolygon", polygons))]))
+    pieces = rows.select(F.col("name").alias("Name"), "description", F.explode_outer(shapes).alias("geometry"))
+    return Layer(name, with_fid(G.settle(pieces)), 4326)
 
 
 def read_parquet_layer(spark: SparkSession, path: str, name: str, epsg: int | None = None,
                        layer: str | None = None, filter_expr: str | None = None) -> Layer:
     """Layer written by this package; the EPSG code is kept in the geometry column's metadata.
 
-    Rows are selected before they are numbered, so that the filter reaches the scan.
+    Rows are selected before they are numbered, so that the filter reaches the scan.  A stored ``fid`` is tried
+    in a pass over that column alone; lines stored in several rows are named by ``fid`` and ``seq``.
     """
     df = spark.read.parquet(path)
     stored = df.schema["geometry"].metadata.get("epsg")
     df = attribute_filter(select_layer(df, layer), filter_expr, name)
-    return Layer(name, with_fid(df.drop("xmin", "ymin", "xmax", "ymax")), epsg or stored)
+    df = df.drop("xmin", "ymin", "xmax", "ymax")
+    if "seq" in df.columns and "fid" in df.columns:
+        return Layer(name, df, epsg or stored, ("fid", "seq"))
+    return Layer(name, with_fid(_typed_fid(df)), epsg or stored)
 
 
 def select_layer(df: DataFrame, layer: str | None) -> DataFrame:
