@@ -180,7 +180,7 @@ class Lines:
 
     def __init__(self):
         self.lines: list[str] = []
-        self.open = ""
+        self.pieces: list[str] = []
         self.blank = False
 
     def inline(self, text: str) -> None:
@@ -189,13 +189,17 @@ class Lines:
             lead = " " if part[:1].isspace() else ""
             tail = " " if part[-1:].isspace() and words else ""
             piece = ("\xa0" if k else "") + lead + words + tail
-            if self.open.endswith(" ") or not self.open:
+            if not self.pieces or self.pieces[-1].endswith(" "):
                 piece = piece.lstrip(" ")
-            self.open += piece
+            self.put(piece)
+
+    def put(self, piece: str) -> None:
+        if piece:
+            self.pieces.append(piece)
 
     def end_line(self, keep_empty: bool = False) -> None:
-        line = self.open.rstrip(" ")
-        self.open = ""
+        line = "".join(self.pieces).rstrip(" ")
+        self.pieces = []
         if line or keep_empty:
             if self.blank and self.lines and self.lines[-1]:
                 self.lines.append("")
@@ -210,7 +214,7 @@ class Lines:
         self.end_line()
         for line in block:
             if line:
-                self.open = line
+                self.pieces = [line]
                 self.end_line()
             else:
                 self.blank = True
@@ -289,7 +293,7 @@ def render(node: Node, out: Lines) -> None:
                     child = child.removeprefix("\r").removeprefix("\n")
                 parts = child.expandtabs(4).replace("\r\n", "\n").split("\n")
                 for k, part in enumerate(parts):
-                    out.open += part
+                    out.put(part)
                     if k < len(parts) - 1:
                         out.end_line(keep_empty=True)
             else:
@@ -298,7 +302,7 @@ def render(node: Node, out: Lines) -> None:
         if not child.visible():
             continue
         if child.tag == "br":
-            if out.open:
+            if out.pieces:
                 out.end_line(keep_empty=True)
             else:
                 out.blank = True

@@ -33,7 +33,7 @@ def test_any_markup_is_rendered():
         assert isinstance(rendered("".join(draw.choices(parts, k=20))), str)
 
 
-@pytest.mark.parametrize("part", ["<a ", "<!--", '<p a="', "<p a='", "</", "<b>", "&", "<script>", "<a =", "<p><ul><li>"])
+@pytest.mark.parametrize("part", ["<a ", "<!--", '<p a="', "<p a='", "</", "<b>", "&", "<script>", "<a =", "<p><ul><li>", "<", "x<b></b>"])
 def test_long_broken_pages(part):
     begin = time.monotonic()
     rendered(part * 40_000)
