@@ -42,6 +42,7 @@ PARAGRAPH_ENDS = BLOCK - {"html", "body", "tr", "td", "th", "tbody", "thead", "t
 RAW, ESCAPED_RAW = set("script style xmp iframe noembed noframes".split()), {"title", "textarea"}
 PREFORMATTED = {"pre", "textarea", "xmp", "listing"}
 SCOPES = {"table", "td", "th", "caption", "button", "html"}
+ROW_GROUPS = {"tbody", "thead", "tfoot"}
 #: Elements nested deeper than this are attached to their ancestor at that depth, so no page overflows the stack.
 DEEPEST = 150
 WIDEST_CELL = 120
@@ -152,11 +153,15 @@ class TreeBuilder:
             self.close_open(*CLOSES[tag])
         if self.stack[-1].tag == "head" and tag not in HIDDEN and tag not in VOID:
             self.stack.pop()  # content begins: the head ends by itself
+        if tag in ("td", "th") and self.stack[-1].tag in {"table"} | ROW_GROUPS:
+            self.start("tr", {})
+        # A form between the parts of a table holds nothing, its rows and cells stay those of the table.
+        empty = tag == "form" and self.stack[-1].tag in {"table", "tr"} | ROW_GROUPS
         node = Node(tag, attrs, self.stack[-1])
         self.stack[-1].children.append(node)
         # At the greatest depth a hidden element still holds its content, so that it stays hidden.
         deep = len(self.stack) - DEEPEST
-        if tag not in VOID and tag not in _RAW_END and (deep < 0 or deep == 0 and not (node.visible() and node.shown)):
+        if tag not in VOID and tag not in _RAW_END and not empty and (deep < 0 or deep == 0 and not (node.visible() and node.shown)):
             self.stack.append(node)
         return node
 
@@ -225,10 +230,25 @@ def rows_of(node: Node):
         if isinstance(child, Node) and child.visible():
             if child.tag == "tr":
                 yield child
-            elif child.tag in ("tbody", "thead", "tfoot"):
+            elif child.tag in ROW_GROUPS:
                 yield from rows_of(child)
 
 
+def loose_parts(node: Node):
+    """What stands in a table beside its rows: for the table and each of its row groups, a node of these children."""
+    loose = Node("div", {}, node)
+    loose.shown = node.shown
+    groups = []
+    for child in node.children:
+        if isinstance(child, Node) and child.tag in ROW_GROUPS:
+            groups += [child] if child.visible() else []
+        elif isinstance(child, str) or child.tag not in ("tr", "colgroup", "col"):
+            loose.children.append(child)
+    yield loose
+    for group in groups:
+        yield from loose_parts(group)
+
+
 def span(cell: Node) -> int:
     value = cell.attrs.get("colspan") or ""
     return min(max(int(value), 1), 100) if value.isascii() and value.isdigit() else 1
@@ -237,17 +257,14 @@ def span(cell: Node) -> int:
 def table_lines(node: Node) -> list[str]:
     """Rows with cells aligned by column; a cell of several lines takes several lines.  Every visible part of the table is kept."""
     out = Lines()
-    for child in node.children:
-        if isinstance(child, Node) and child.visible() and child.tag not in ("tr", "tbody", "thead", "tfoot", "colgroup", "col"):
-            out.add(block_lines(child))
-        elif isinstance(child, str) and node.shown:
-            out.inline(child)
-    out.end_line()
+    for loose in loose_parts(node):
+        out.add(block_lines(loose))
     rows = []
     for row in rows_of(node):
         cells: list[list[str]] = []
         for cell in row.children:
-            if isinstance(cell, str) and not (cell.strip() and row.shown) or isinstance(cell, Node) and not cell.visible():
+            if isinstance(cell, str) and not (cell.strip() and row.shown) or isinstance(cell, Node) and (
+                    not cell.visible() or cell.tag == "form" and not cell.children):
                 continue
             lines = [line for line in block_lines(cell)] if isinstance(cell, Node) else [" ".join(cell.split())]
             cells += [lines] + [[]] * (span(cell) - 1 if isinstance(cell, Node) else 0)

@@ -38,3 +38,18 @@ def test_long_broken_pages(part):
     begin = time.monotonic()
     rendered(part * 40_000)
     assert time.monotonic() - begin < 20
+
+
+TABLES = {
+    "<table><thead><th>Name<th>Age</thead><tr><td>Bo<td>7</table>": "Name  Age\nBo    7",
+    "<table><tbody><form><tr><td>a</td><td>b</td></tr></form></tbody></table>": "a  b",
+    "<table><tr><form><td>a</td><td>b</td></form></tr></table>c": "a  b\n\nc",
+    "<table><tbody><td>x<tbody><td>y</table>": "x\ny", "<table><td>x<td>y</table>": "x  y",
+    "<table><tbody>words<tr><td>x</table>": "words\nx", "<table><tfoot><div>d</div><b>e</b> f<tr><td>x</table>": "d\ne f\nx",
+    "<table><tbody><img alt=i><tr><td>x</table>": "i\nx", "<table><tbody hidden><tr><td>h</tbody><tr><td>v</table>": "v",
+}
+
+
+@pytest.mark.parametrize("html", TABLES)
+def test_row_groups_keep_their_text(html):
+    assert rendered(html) == TABLES[html]
