@@ -34,15 +34,16 @@ BLOCK = set("""address article aside blockquote body center dd details dialog di
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl pre table figure".split())
 #: A start tag closes these open elements, unless one of the barriers stands between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-          "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
-          "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "thead": ({"tbody", "tr", "td", "th"}, {"table"}),
-          "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
+          "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 PARAGRAPH_ENDS = BLOCK - {"html", "body", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "li", "dt", "dd"} | {"hr"}
 #: Elements whose content is text up to their own end tag; those of the second set may hold character references.
 RAW, ESCAPED_RAW = set("script style xmp iframe noembed noframes".split()), {"title", "textarea"}
 PREFORMATTED = {"pre", "textarea", "xmp", "listing"}
 SCOPES = {"table", "td", "th", "caption", "button", "html"}
 ROW_GROUPS = {"tbody", "thead", "tfoot"}
+#: A part of a table ends whatever is open inside its table (a caption, a column group, a cell), up to one of these.
+TABLE_PARTS = {**dict.fromkeys((*ROW_GROUPS, "caption", "colgroup", "col"), {"table"}), "tr": {"table"} | ROW_GROUPS,
+               **dict.fromkeys(("td", "th"), {"table", "tr"} | ROW_GROUPS)}
 #: Elements nested deeper than this are attached to their ancestor at that depth, so no page overflows the stack.
 DEEPEST = 150
 WIDEST_CELL = 120
@@ -144,6 +145,15 @@ class TreeBuilder:
         if cut is not None:
             del self.stack[cut:]
 
+    def to_table(self, barriers: set[str]) -> None:
+        """Ends the open elements above the nearest of the barriers, if there is one."""
+        for k in range(len(self.stack) - 1, 0, -1):
+            if self.stack[k].tag in barriers:
+                del self.stack[k + 1:]
+                return
+            if self.stack[k].tag in ("template", "noscript"):
+                return
+
     def start(self, tag: str, attrs: dict) -> Node:
         if tag == "html":
             return self.root
@@ -151,6 +161,10 @@ class TreeBuilder:
             self.close_open({"p"}, SCOPES)
         if tag in CLOSES:
             self.close_open(*CLOSES[tag])
+        if self.stack[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self.stack.pop()
+        elif tag in TABLE_PARTS and not (tag == "col" and self.stack[-1].tag == "colgroup"):
+            self.to_table(TABLE_PARTS[tag])
         if self.stack[-1].tag == "head" and tag not in HIDDEN and tag not in VOID:
             self.stack.pop()  # content begins: the head ends by itself
         if tag in ("td", "th") and self.stack[-1].tag in {"table"} | ROW_GROUPS:
@@ -173,10 +187,12 @@ class TreeBuilder:
                 if self.stack[k].tag == tag:
                     del self.stack[k:]
                     return
-                if self.stack[k].tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
+                if self.stack[k].tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot", "template", "noscript"):
                     return
 
     def text(self, data: str) -> None:
+        if self.stack[-1].tag == "colgroup" and data.strip():
+            self.stack.pop()
         self.stack[-1].children.append(data)
 
 

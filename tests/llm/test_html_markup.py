@@ -53,3 +53,17 @@ TABLES = {
 @pytest.mark.parametrize("html", TABLES)
 def test_row_groups_keep_their_text(html):
     assert rendered(html) == TABLES[html]
+
+
+OPEN_PARTS = {
+    "<table><colgroup><col><col><tr><td>A</td></tr></table>": "A", "<table><colgroup><tbody><tr><td>A<td>B</table>": "A  B",
+    "<table><colgroup>t<tr><td>A</table>": "t\nA", "<table><caption>c<colgroup><col><thead><tr><th>A<tbody><tr><td>B</table>": "c\nA\nB",
+    "<table><caption>c<tr><td>A<td>B<tr><td>CC<td>D</table>": "c\nA   B\nCC  D", "<table><caption>c <b>d<td>A<td>B</table>": "c d\nA  B",
+    "<table><tr><td><template><tr><td>h</template>A<td>B</table>": "A  B", "<table><div>d<tr><td>A<td>B</table>": "d\nA  B",
+    "<table><tr><td><table><colgroup><tr><td>A</table>B<td>C</table>": "A  C\n\nB",
+}
+
+
+@pytest.mark.parametrize("html", OPEN_PARTS)
+def test_open_captions_and_column_groups_end_with_rows(html):
+    assert rendered(html) == OPEN_PARTS[html]
