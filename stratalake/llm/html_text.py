@@ -6,7 +6,8 @@ their own with a blank line around paragraphs and headings, bullets or numbers b
 nested lists, preformatted text as it is, and table cells padded to the width of their column.
 
 Hidden are what browsers hide: scripts and the like, ``hidden``, ``display:none``, closed dialogs, closed details but for
-their summary, and ``visibility:hidden`` but for descendants made visible again.  Cells over ``WIDEST_CELL`` characters don't
+their summary, and ``visibility:hidden`` but for descendants made visible again.  Formulas and the labels of drawings are shown,
+without their titles, descriptions, definitions and annotations.  Cells over ``WIDEST_CELL`` characters don't
 widen their column, so that one long cell doesn't pad all other rows.
 
 Defined results: NULL html gives NULL text; empty html gives the empty text.  Broken markup never fails and takes time
@@ -28,7 +29,17 @@ from stratalake.llm.common import table
 
 # Fixed sets of the HTML standard.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style template noscript title iframe object audio video canvas svg math datalist noembed noframes".split())
+HIDDEN = set("head script style template noscript title iframe object audio video canvas datalist noembed noframes".split())
+#: Parts of a drawing or formula that aren't drawn.  They are hidden there only, elsewhere such names are unknown elements.
+UNDRAWN = {"svg": set("desc metadata defs symbol clippath mask pattern marker".split()), "svg text": {"desc", "metadata"},
+           "math": {"annotation", "annotation-xml"}}
+#: Elements of drawings and formulas that hold HTML again.
+HTML_INSIDE = {"svg": {"foreignobject", "desc"}, "svg text": {"desc"}, "math": set("annotation-xml mi mo mn ms mtext".split())}
+#: HTML elements that end an open drawing or formula.
+ENDS_DRAWING = set("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre
+ ruby s small span strong strike sub sup table tt u ul var""".split())
+#: The head holds these; all others end it.
+HEAD_PARTS = set("base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3
  h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption option optgroup textarea""".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl pre table figure".split())
@@ -54,22 +65,38 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "shown", "pre")
+    __slots__ = ("tag", "attrs", "children", "shown", "pre", "language", "inside")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None = None):
         self.tag, self.attrs, self.children = tag, attrs, []
+        # "" for HTML, "svg", "svg text" or "math": of the element, and of what it holds.
+        self.language = parent.inside if parent is not None else ""
+        self.inside = "" if tag in HTML_INSIDE.get(self.language, ()) else self.language
+        if tag in ("svg", "math"):
+            self.inside = tag
+        elif tag == "text" and self.language == "svg":
+            self.inside = "svg text"
         style = self.style()
         self.pre = tag in PREFORMATTED or "white-space:pre" in style or parent is not None and parent.pre
         self.shown = ("visibility:visible" in style or parent is None or parent.shown) and not (
             "visibility:hidden" in style or "visibility:collapse" in style)
 
     def style(self) -> str:
-        return "".join((self.attrs.get("style") or "").split()).lower()
+        style = self.attrs.get("style") or ""
+        if self.tag == "svg" or self.language[:3] == "svg":  # here these are attributes as well
+            style = ";".join([style, *(f"{k}:{self.attrs[k]}" for k in ("display", "visibility") if self.attrs.get(k))])
+        return "".join(style.split()).lower()
 
     def visible(self) -> bool:
-        return not (self.tag in HIDDEN or "hidden" in self.attrs or "display:none" in self.style()
+        return not (self.tag in HIDDEN or self.tag in UNDRAWN.get(self.language, ()) or "hidden" in self.attrs or "display:none" in self.style()
                     or self.tag == "dialog" and "open" not in self.attrs)
 
+    def apart(self, parent: Node) -> bool:
+        """Whether a part of a drawing or formula stands apart from its neighbours."""
+        if self.language == "math":
+            return self.tag in ("mtr", "mtd") or parent.tag == "mfrac"
+        return self.inside == "svg text" and (self.tag == "text" or not self.attrs.keys().isdisjoint(("x", "y", "dy")))
+
 
 class TreeBuilder:
     """Elements and texts of a page in one pass over it."""
@@ -77,6 +104,7 @@ class TreeBuilder:
     def __init__(self, page: str):
         self.root = Node("html", {})
         self.stack = [self.root]
+        self.begun = False  # whether anything but space has been read
         at = 0
         while at < len(page):
             at = self.step(page, at)
@@ -88,6 +116,10 @@ class TreeBuilder:
             end = end if end >= 0 else len(page)
             self.text(unescape(page[at:end]))
             return end
+        if page.startswith("<![CDATA[", at) and (self.stack[-1].language or self.stack[-1].inside):
+            end = page.find("]]>", at)
+            self.text(page[at + 9:end if end >= 0 else len(page)])
+            return end + 3 if end >= 0 else len(page)
         following = page[at + 1:at + 2]
         if page.startswith("<!--", at):
             ends = [page.find(mark, at + 2) for mark in ("-->", "--!>")]
@@ -119,8 +151,12 @@ class TreeBuilder:
                 return at
             if page[at] == ">":
                 break
+        # In drawings and formulas a slash before the end closes the element, unless it belongs to an unquoted value.
+        closed = not found[1] and page[at - 1] == "/"
         at += 1
-        node = self.start(tag, attrs)
+        node = self.start(tag, attrs, closed)
+        if closed and node.language:
+            return at
         if tag == "plaintext":
             node.children.append(page[at:])
             return len(page)
@@ -154,9 +190,12 @@ class TreeBuilder:
             if self.stack[k].tag in ("template", "noscript"):
                 return
 
-    def start(self, tag: str, attrs: dict) -> Node:
-        if tag == "html":
+    def start(self, tag: str, attrs: dict, closed: bool = False) -> Node:
+        if tag == "html" or tag == "head" and self.begun:
             return self.root
+        self.begun = True
+        while tag in ENDS_DRAWING and self.stack[-1].inside:
+            self.stack.pop()
         if tag in PARAGRAPH_ENDS:
             self.close_open({"p"}, SCOPES)
         if tag in CLOSES:
@@ -165,7 +204,7 @@ class TreeBuilder:
             self.stack.pop()
         elif tag in TABLE_PARTS and not (tag == "col" and self.stack[-1].tag == "colgroup"):
             self.to_table(TABLE_PARTS[tag])
-        if self.stack[-1].tag == "head" and tag not in HIDDEN and tag not in VOID:
+        if self.stack[-1].tag == "head" and tag not in HEAD_PARTS:
             self.stack.pop()  # content begins: the head ends by itself
         if tag in ("td", "th") and self.stack[-1].tag in {"table"} | ROW_GROUPS:
             self.start("tr", {})
@@ -173,9 +212,11 @@ class TreeBuilder:
         empty = tag == "form" and self.stack[-1].tag in {"table", "tr"} | ROW_GROUPS
         node = Node(tag, attrs, self.stack[-1])
         self.stack[-1].children.append(node)
-        # At the greatest depth a hidden element still holds its content, so that it stays hidden.
+        empty |= closed and (node.language or node.inside) != ""
+        # At the greatest depth a hidden element still holds its content, so that it stays hidden, and a drawing's label, so that it is shown.
         deep = len(self.stack) - DEEPEST
-        if tag not in VOID and tag not in _RAW_END and not empty and (deep < 0 or deep == 0 and not (node.visible() and node.shown)):
+        label = node.language == "svg" != node.inside
+        if tag not in VOID and tag not in _RAW_END and not empty and (deep < 0 or deep == 0 and (label or not (node.visible() and node.shown))):
             self.stack.append(node)
         return node
 
@@ -191,8 +232,10 @@ class TreeBuilder:
                     return
 
     def text(self, data: str) -> None:
-        if self.stack[-1].tag == "colgroup" and data.strip():
-            self.stack.pop()
+        if data.strip():
+            self.begun = True
+            if self.stack[-1].tag in ("colgroup", "head"):
+                self.stack.pop()
         self.stack[-1].children.append(data)
 
 
@@ -319,7 +362,7 @@ def render(node: Node, out: Lines) -> None:
         if closed and not (isinstance(child, Node) and child.tag == "summary"):
             continue
         if isinstance(child, str):
-            if not node.shown:
+            if not node.shown or node.inside == "svg":
                 continue
             if node.pre:
                 if node.tag in PREFORMATTED and child is node.children[0]:
@@ -365,7 +408,10 @@ def render(node: Node, out: Lines) -> None:
             if child.tag in SPACED and node.tag != "li":
                 out.space()
         else:
+            apart = " " if child.apart(node) else ""
+            out.inline(apart)
             render(child, out)
+            out.inline(apart)
 
 
 def rendered(html: str | None) -> str | None:

@@ -67,3 +67,23 @@ OPEN_PARTS = {
 @pytest.mark.parametrize("html", OPEN_PARTS)
 def test_open_captions_and_column_groups_end_with_rows(html):
     assert rendered(html) == OPEN_PARTS[html]
+
+
+DRAWN = {
+    "<head><title>T</title>First words <b>more</b>": "First words more", "<p>a</p><head>b <i>c</i></head>": "a\n\nb c",
+    "<head><title>T</title> <meta><style>s</style>\n</head><body>x": "x", "<head><head>x": "x", "x<head>y": "xy",
+    "<head><title>T</title><img alt=i>x": "i x", "<!doctype html> <head><title>T</title></head> <head>x": "x",
+    "E is <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>mc^2</annotation></math>.": "E is mc2.",
+    "<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>": "1 2",
+    "<svg><title>t</title><desc>d</desc><defs><text>h</text></defs><text x=1>Label</text><path d='M0'/><text>two</text></svg>b": "Label two b",
+    "<svg><title/><defs/><metadata>m</metadata>loose<g><text>a<tspan>b</tspan><tspan dy=1>c</tspan></text></g></svg>": "ab c",
+    "<svg><style/><script/><foreignObject><div>x</div>y</foreignObject></svg>": "x\ny", "<svg/>x": "x", "<math/>x": "x", "<desc>x": "x",
+    "<svg><text><![CDATA[a<b]]></text></svg>": "a<b", "<svg><defs><g><p>x": "x", "<svg hidden><text>a</text></svg>b": "b",
+    "<p>a <svg viewBox=0/><path/></svg>b": "a b", "<svg><text display=none>a</text><text>b</text></svg>": "b",
+    "<svg>" + "<g>" * 200 + "<text>a</text>" + "</g>" * 200 + "</svg>": "a", "<math><mi><![CDATA[x]]></mi></math>": "x",
+}
+
+
+@pytest.mark.parametrize("html", DRAWN)
+def test_drawings_formulas_and_open_heads(html):
+    assert rendered(html) == DRAWN[html]
