@@ -18,28 +18,33 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import held_out, table, texts_of
 
 UNDETERMINED = "und"
-#: Learning texts for each language, at most: so many documents, so many bytes of each, so many bytes in all.
-LEARN_DOCS, LEARN_DOC_BYTES, DICTIONARY_BYTES = 1_000, 500, 500_000
+#: Learning texts for each language, at most: so many documents, so many bytes in all.
+LEARN_DOCS, DICTIONARY_BYTES = 1_000, 500_000
 BLOCK_BYTES, LEVEL = 4_096, 6
 #: A best language less than this share smaller than the second is no verdict.
 LEAST_MARGIN = 0.01
 
 
-def dictionaries(docs: DataFrame, docs_each: int = LEARN_DOCS, bytes_each: int = LEARN_DOC_BYTES,
-                 size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+def dictionaries(docs: DataFrame, docs_each: int = LEARN_DOCS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Raw dictionary content by language, from the documents of smallest hash that aren't held out.
 
-    The sample is bounded by the parameters for each language.  Ids are ranked without their texts, and
-    Spark cuts each task's candidates to ``docs_each`` before the shuffle.
+    The sample is bounded by the parameters for each language: texts are taken whole, equal ones once, until it is
+    full; only the text that fills it is cut.  They are ranked by their digests, and Spark cuts each task's
+    candidates to ``docs_each`` before the shuffle.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang").distinct().withColumn("_r", rank).filter(F.col("_r") <= docs_each).drop("_r")
-    texts = (known.select("doc_id", "lang", F.substring(F.encode(F.lower("text"), "utf-8"), 1, bytes_each).alias("part"))
-             .join(F.broadcast(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
-             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("doc_id").alias("h"), "part"))).alias("parts")))
-    return {r["lang"]: b"\n".join(bytes(p["part"]) for p in r["parts"])[-size:]
-            for r in texts.orderBy("lang").collect()}
+    part = F.encode(F.lower("text"), "utf-8")
+    known = (docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+             .select("doc_id", "lang", part.alias("part")).withColumn("digest", F.md5("part")))
+    ranked = Window.partitionBy("lang").orderBy("first.h", "first.doc_id", "digest")
+    chosen = (known.groupBy("lang", "digest").agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")).alias("first"),
+                                                  F.max(F.octet_length("part")).alias("bytes"))
+              .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= docs_each)
+              .withColumn("start", F.sum(F.col("bytes") + 1).over(ranked) - F.col("bytes") - 1).filter(F.col("start") < size)
+              .select("lang", "digest", F.col("first.doc_id").alias("chosen_id"), "rank", "start"))
+    texts = (known.join(F.broadcast(chosen), ["lang", "digest"]).filter(F.col("doc_id").eqNullSafe(F.col("chosen_id")))
+             .select("lang", "rank", F.expr(f"substring(part, 1, int({size} - start))").alias("part")).dropDuplicates(["lang", "rank"])
+             .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "part"))).alias("parts")))
+    return {r["lang"]: b"\n".join(bytes(p["part"]) for p in r["parts"]) for r in texts.orderBy("lang").collect()}
 
 
 def identify(docs: DataFrame, content: dict[str, bytes], block: int = BLOCK_BYTES, level: int = LEVEL,

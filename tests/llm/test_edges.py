@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, repeats, empty tables and clashing column names, for every query and stage."""
 
+import zlib
+
 import pytest
 from conftest_llm import DOCS, EDGE, OTHERS
 
@@ -54,3 +56,16 @@ def test_numbers_are_no_letters(spark):
     docs = spark.createDataFrame([(1, "\u00bd \u00b2 12"), (2, "\u03b1")], "doc_id int, text string")
     got = {r["doc_id"]: r["best"] for r in language.identify(docs, {"el": "\u03b1\u03b2".encode()}).collect()}
     assert got == {1: "und", 2: "el"}
+
+
+def test_dictionaries_take_whole_texts_once(spark):
+    opening = "same licence line in front of each document " * 20
+    rows = [(k, opening + f"körper{k}", "de") for k in range(40)] + [(100 + k, "twice the same text", "en") for k in range(9)]
+    docs = spark.createDataFrame([*rows, (None, "without id", "fr"), (None, "without id", "fr")], "doc_id bigint, text string, lang string")
+    found = language.dictionaries(docs)
+    learned = [k for k in range(40) if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert all(f"körper{k}".encode() in found["de"].split() for k in learned) and found["de"].count(b"\n") == len(learned) - 1
+    assert found["en"] == b"twice the same text" and found["fr"] == b"without id"
+    short = language.dictionaries(docs, size=2_000)["de"]
+    assert len(short) == 2_000 and short == found["de"][:2_000]
+    assert language.dictionaries(docs, docs_each=3)["de"] == b"\n".join(found["de"].split(b"\n")[:3])
