@@ -320,3 +320,9 @@ def test_pipeline_against_its_parts(spark):
     clean = {r["doc_id"] for r in QUERIES["op5_decontaminate"](spark, SF).filter("not contaminated").collect()}
     assert {r["doc_id"] for r in corpus_pipeline.decontamination_stage(spark, docs, SF).collect()} == clean
     check_packing(corpus_pipeline.run(spark, SF).collect())
+
+
+def test_components_with_rounds_of_equal_checksum(spark):
+    # The first round turns this path into edges of equal number and equal sum of short hashes, and isn't the last.
+    path = spark.createDataFrame([(2, 1), (3, 2), (890304, 3)], "a bigint, b bigint")
+    assert sorted(map(tuple, simhash.components(path).collect())) == [(2, 1), (3, 1), (890304, 1)]
