@@ -47,7 +47,7 @@ def samples_utm(spark: SparkSession, sf: str) -> Layer:
 
 def dem_meta(spark: SparkSession, sf: str, epsg: int = 4326) -> RasterMeta:
     n = table(spark, sf, "part").count()
-    return RasterMeta("dem", epsg, 70.0, 36.0, 1.0 / 20, 20.0 / n, 20, n // 20, 1, -9999.0, "float64")
+    return RasterMeta("dem", epsg, 70.0, 36.0, 1.0 / 20, 20.0 / n, 20, -(-n // 20), 1, -9999.0, "float64")
 
 
 def dem_pixels(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +64,7 @@ def dem(spark: SparkSession, sf: str) -> Raster:
 def dem_utm(spark: SparkSession, sf: str) -> Raster:
     """The same grid placed in UTM zone 42: 5 km columns from 400 km east, rows filling 100 km."""
     n = table(spark, sf, "part").count()
-    meta = RasterMeta("dem_utm", 32642, 400000.0, 3970000.0, 5000.0, 100000.0 / (n / 20), 20, n // 20,
+    meta = RasterMeta("dem_utm", 32642, 400000.0, 3970000.0, 5000.0, 100000.0 / (n / 20), 20, -(-n // 20),
                       1, -9999.0, "float64")
     return from_pixels(dem_pixels(spark, sf), meta)
 

@@ -116,3 +116,13 @@ def test_a_fid_that_names_no_rows_is_an_attribute(spark, tmp_path, fids):
                               for f in fids.split(", ")))
     rows = readers.read_vector(spark, VectorSource("x", str(path))).df.collect()
     assert len({r["fid"] for r in rows}) == 2 and [r["source_fid"] for r in rows] == [None if f == "null" else f.strip('"') for f in fids.split(", ")]
+
+
+def test_sample_raster_holds_a_part_row(spark, tmp_path):
+    from checks import sample_layers
+
+    spark.range(45).selectExpr("id as p_partkey", "cast(9 as int) as p_size", "cast(id as double) as p_retailprice").write.parquet(
+        f"{tmp_path}/part.parquet")
+    rows = {r["r"] for r in sample_layers.dem_pixels(spark, str(tmp_path)).select("r").collect()}
+    for raster in (sample_layers.dem(spark, str(tmp_path)), sample_layers.dem_utm(spark, str(tmp_path))):
+        assert raster.meta.height == max(rows) + 1 == 3
