@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -27,7 +25,3 @@ def make_layer(spark):
                  if parts is not None else None) for fid, kind, parts in rows]
         return Layer(name, spark.createDataFrame(data, f"fid bigint, name string, geometry {GEOMETRY}"), epsg)
     return build
-
-
-SQUARE = [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]
-BOWTIE = [(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]

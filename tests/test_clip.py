@@ -2,7 +2,7 @@ import math
 import random
 from dataclasses import replace
 
-from conftest import SQUARE
+from layer_cases import SQUARE
 from stratalake.functions import geometry as G
 from stratalake.operators import clip, mask
 

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from checks import sample_layers as S
-from conftest import SF
+from layer_cases import SF
 from stratalake.functions import geometry as G
 from stratalake.operators.layers import Layer
 from stratalake.operators.audit import audit_gate, source_audit

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BOWTIE, SF, SQUARE
+from layer_cases import BOWTIE, SF, SQUARE
 from checks import sample_layers as S
 from stratalake.functions import geometry as G
 from stratalake.operators import noding, repair, validity

@@ -4,7 +4,7 @@ import pytest
 
 from checks.compare import compare, connect
 from checks.queries import QUERIES
-from conftest import SF
+from layer_cases import SF
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SQUARE
+from layer_cases import SQUARE
 from stratalake.functions import geometry as G
 from stratalake.operators import validity
 from stratalake.plans.config import VectorSource

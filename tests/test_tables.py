@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BOWTIE, SQUARE
+from layer_cases import BOWTIE, SQUARE
 from stratalake.operators import qa, schema
 from stratalake.operators.layers import Layer
 
