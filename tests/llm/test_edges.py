@@ -14,6 +14,9 @@ from stratalake.llm.queries import QUERIES
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_on_odd_rows(spark, folder, name):
     rows = QUERIES[name](spark, folder(documents=(EDGE, DOCS), **OTHERS)).collect()
+    if name in ("op11_collocations", "op13_variants"):  # rows of phrases and words; test_words.py has their values
+        assert (name == "op11_collocations") == (rows == [])
+        return
     key = "page_id" if "page_id" in rows[0].asDict() else "doc_id"
     want = OTHERS["pages"][0] if key == "page_id" else EDGE
     if name != "op9_packing":
