@@ -29,15 +29,19 @@ def dictionaries(docs: DataFrame, docs_each: int = LEARN_DOCS, size: int = DICTI
     """Raw dictionary content by language, from the documents of smallest hash that aren't held out.
 
     The sample is bounded by the parameters for each language: texts are taken whole, equal ones once, until it is
-    full; only the text that fills it is cut.  They are ranked by their digests, and Spark cuts each task's
-    candidates to ``docs_each`` before the shuffle.
+    full; only the text that fills it is cut.  A language's hashes are even, so its number of texts gives a bound on the
+    hash under which twice as many fall as are wanted; only those are ranked, however large the language.
     """
     part = F.encode(F.lower("text"), "utf-8")
     known = (docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
              .select("doc_id", "lang", part.alias("part")).withColumn("digest", F.md5("part")))
     ranked = Window.partitionBy("lang").orderBy("first.h", "first.doc_id", "digest")
-    chosen = (known.groupBy("lang", "digest").agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")).alias("first"),
-                                                  F.max(F.octet_length("part")).alias("bytes"))
+    texts = known.groupBy("lang", "digest").agg(F.min(F.struct(F.xxhash64("doc_id", "digest").alias("h"), "doc_id")).alias("first"),
+                                                F.max(F.octet_length("part")).alias("bytes"))
+    # A row for each language: the share of its hashes that holds the sample.
+    shares = texts.groupBy("lang").agg((F.lit(2.0 * docs_each + 100) / F.count(F.lit(1))).alias("share"))
+    low = (F.col("first.h") / F.lit(2.0 ** 64) + 0.5) < F.col("share")
+    chosen = (texts.join(F.broadcast(shares), "lang").filter(low)
               .withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= docs_each)
               .withColumn("start", F.sum(F.col("bytes") + 1).over(ranked) - F.col("bytes") - 1).filter(F.col("start") < size)
               .select("lang", "digest", F.col("first.doc_id").alias("chosen_id"), "rank", "start"))
