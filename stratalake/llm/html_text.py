@@ -19,6 +19,8 @@ the page, open elements end with the page.  Repeated rows are rendered each; ext
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from html import unescape
 
 import pyarrow as pa
@@ -55,17 +57,19 @@ ROW_GROUPS = {"tbody", "thead", "tfoot"}
 #: A part of a table ends whatever is open inside its table (a caption, a column group, a cell), up to one of these.
 TABLE_PARTS = {**dict.fromkeys((*ROW_GROUPS, "caption", "colgroup", "col"), {"table"}), "tr": {"table"} | ROW_GROUPS,
                **dict.fromkeys(("td", "th"), {"table", "tr"} | ROW_GROUPS)}
-#: Elements nested deeper than this are attached to their ancestor at that depth, so no page overflows the stack.
-DEEPEST = 150
 WIDEST_CELL = 120
+#: The standard's limits of spans.
+WIDEST_SPAN, HIGHEST_SPAN = 1000, 65534
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
 _ATTRIBUTE = re.compile(r"[\s/]*+(=?[^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([\"'])|([^\s>]*+)))?+")
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+_DECLARATION = re.compile(r"([^:;]*+):((?:[^;\"'(]|\"[^\"]*+\"?|'[^']*+'?|\([^)]*+\)?)*+)")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in RAW | ESCAPED_RAW}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "shown", "pre", "language", "inside")
+    __slots__ = ("tag", "attrs", "children", "shown", "pre", "language", "inside", "display")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None = None):
         self.tag, self.attrs, self.children = tag, attrs, []
@@ -77,19 +81,30 @@ class Node:
         elif tag == "text" and self.language == "svg":
             self.inside = "svg text"
         style = self.style()
-        self.pre = tag in PREFORMATTED or "white-space:pre" in style or parent is not None and parent.pre
-        self.shown = ("visibility:visible" in style or parent is None or parent.shown) and not (
-            "visibility:hidden" in style or "visibility:collapse" in style)
-
-    def style(self) -> str:
-        style = self.attrs.get("style") or ""
+        self.pre = tag in PREFORMATTED or style.get("white-space", "").startswith("pre") or parent is not None and parent.pre
+        self.display = style.get("display")
+        visibility = style.get("visibility")
+        self.shown = (visibility == "visible" or parent is None or parent.shown) and visibility not in ("hidden", "collapse")
+
+    def style(self) -> dict[str, str]:
+        """Declarations of the element's own style; the last of a property holds, but for an important one."""
+        found: dict[str, str] = {}
         if self.tag == "svg" or self.language[:3] == "svg":  # here these are attributes as well
-            style = ";".join([style, *(f"{k}:{self.attrs[k]}" for k in ("display", "visibility") if self.attrs.get(k))])
-        return "".join(style.split()).lower()
+            found = {k: self.attrs[k].strip().lower() for k in ("display", "visibility") if self.attrs.get(k)}
+        important = set()
+        for name, value in _DECLARATION.findall(_COMMENT.sub(" ", self.attrs.get("style") or "")):
+            name, value = name.strip().lower(), value.strip().lower()
+            marked = value.endswith("important") and value[:-9].rstrip().endswith("!")
+            if marked:
+                important.add(name)
+                value = value[:-9].rstrip()[:-1].rstrip()
+            if marked or name not in important:
+                found[name] = value
+        return found
 
     def visible(self) -> bool:
-        return not (self.tag in HIDDEN or self.tag in UNDRAWN.get(self.language, ()) or "hidden" in self.attrs or "display:none" in self.style()
-                    or self.tag == "dialog" and "open" not in self.attrs)
+        return not (self.tag in HIDDEN or self.tag in UNDRAWN.get(self.language, ()) or self.display == "none"
+                    or "hidden" in self.attrs and self.display is None or self.tag == "dialog" and "open" not in self.attrs)
 
     def apart(self, parent: Node) -> bool:
         """Whether a part of a drawing or formula stands apart from its neighbours."""
@@ -104,6 +119,8 @@ class TreeBuilder:
     def __init__(self, page: str):
         self.root = Node("html", {})
         self.stack = [self.root]
+        #: Places in the stack of the open elements, by tag.
+        self.places: dict[str, list[int]] = defaultdict(list, html=[0])
         self.begun = False  # whether anything but space has been read
         at = 0
         while at < len(page):
@@ -170,42 +187,48 @@ class TreeBuilder:
         close = page.find(">", end.end())
         return close + 1 if close >= 0 else len(page)
 
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, at: int) -> None:
+        """Ends the open elements from this place on."""
+        while len(self.stack) > max(at, 1):
+            self.places[self.stack.pop().tag].pop()
+
+    def nearest(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+
     def close_open(self, tags: set[str], barriers: set[str]) -> None:
         """Ends the open elements of these tags, outermost included, up to a barrier."""
-        cut = None
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in barriers:
-                break
-            if self.stack[k].tag in tags:
-                cut = k
-        if cut is not None:
-            del self.stack[cut:]
+        barrier = self.nearest(barriers)
+        found = [places[k] for t in tags if (k := bisect_right(places := self.places[t], barrier)) < len(places)]
+        if found:
+            self.cut(min(found))
 
     def to_table(self, barriers: set[str]) -> None:
         """Ends the open elements above the nearest of the barriers, if there is one."""
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag in barriers:
-                del self.stack[k + 1:]
-                return
-            if self.stack[k].tag in ("template", "noscript"):
-                return
+        at = self.nearest(barriers)
+        if at > self.nearest(("template", "noscript")):
+            self.cut(at + 1)
 
     def start(self, tag: str, attrs: dict, closed: bool = False) -> Node:
         if tag == "html" or tag == "head" and self.begun:
             return self.root
         self.begun = True
         while tag in ENDS_DRAWING and self.stack[-1].inside:
-            self.stack.pop()
+            self.cut(len(self.stack) - 1)
         if tag in PARAGRAPH_ENDS:
             self.close_open({"p"}, SCOPES)
         if tag in CLOSES:
             self.close_open(*CLOSES[tag])
         if self.stack[-1].tag == "colgroup" and tag not in ("col", "template"):
-            self.stack.pop()
+            self.cut(len(self.stack) - 1)
         elif tag in TABLE_PARTS and not (tag == "col" and self.stack[-1].tag == "colgroup"):
             self.to_table(TABLE_PARTS[tag])
         if self.stack[-1].tag == "head" and tag not in HEAD_PARTS:
-            self.stack.pop()  # content begins: the head ends by itself
+            self.cut(len(self.stack) - 1)  # content begins: the head ends by itself
         if tag in ("td", "th") and self.stack[-1].tag in {"table"} | ROW_GROUPS:
             self.start("tr", {})
         # A form between the parts of a table holds nothing, its rows and cells stay those of the table.
@@ -213,29 +236,27 @@ class TreeBuilder:
         node = Node(tag, attrs, self.stack[-1])
         self.stack[-1].children.append(node)
         empty |= closed and (node.language or node.inside) != ""
-        # At the greatest depth a hidden element still holds its content, so that it stays hidden, and a drawing's label, so that it is shown.
-        deep = len(self.stack) - DEEPEST
-        label = node.language == "svg" != node.inside
-        if tag not in VOID and tag not in _RAW_END and not empty and (deep < 0 or deep == 0 and (label or not (node.visible() and node.shown))):
-            self.stack.append(node)
+        if tag not in VOID and tag not in _RAW_END and not empty:
+            self.push(node)
         return node
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.start("br", {})
         elif tag not in ("html", "body"):
-            for k in range(len(self.stack) - 1, 0, -1):
-                if self.stack[k].tag == tag:
-                    del self.stack[k:]
-                    return
-                if self.stack[k].tag in SCOPES and tag not in ("table", "tr", "tbody", "thead", "tfoot", "template", "noscript"):
-                    return
+            scopes = () if tag in ("table", "tr", "tbody", "thead", "tfoot", "template", "noscript") else SCOPES
+            at = self.nearest((tag,))
+            if at and at >= self.nearest(scopes):
+                self.cut(at)
+            elif tag == "p":  # one that closes nothing is an empty paragraph
+                self.start("p", {})
+                self.end("p")
 
     def text(self, data: str) -> None:
         if data.strip():
             self.begun = True
             if self.stack[-1].tag in ("colgroup", "head"):
-                self.stack.pop()
+                self.cut(len(self.stack) - 1)
         self.stack[-1].children.append(data)
 
 
@@ -285,63 +306,96 @@ class Lines:
 
 
 def rows_of(node: Node):
-    for child in node.children:
-        if isinstance(child, Node) and child.visible():
+    """Visible rows of a table, each with its row group."""
+    todo = [(node, iter(node.children))]
+    while todo:
+        group, children = todo[-1]
+        child = next(children, None)
+        if child is None:
+            todo.pop()
+        elif isinstance(child, Node) and child.visible():
             if child.tag == "tr":
-                yield child
+                yield group, child
             elif child.tag in ROW_GROUPS:
-                yield from rows_of(child)
+                todo.append((child, iter(child.children)))
 
 
 def loose_parts(node: Node):
     """What stands in a table beside its rows: for the table and each of its row groups, a node of these children."""
-    loose = Node("div", {}, node)
-    loose.shown = node.shown
-    groups = []
-    for child in node.children:
-        if isinstance(child, Node) and child.tag in ROW_GROUPS:
-            groups += [child] if child.visible() else []
-        elif isinstance(child, str) or child.tag not in ("tr", "colgroup", "col"):
-            loose.children.append(child)
-    yield loose
-    for group in groups:
-        yield from loose_parts(group)
-
-
-def span(cell: Node) -> int:
-    value = cell.attrs.get("colspan") or ""
-    return min(max(int(value), 1), 100) if value.isascii() and value.isdigit() else 1
-
-
-def table_lines(node: Node) -> list[str]:
-    """Rows with cells aligned by column; a cell of several lines takes several lines.  Every visible part of the table is kept."""
+    todo = [node]
+    while todo:
+        node = todo.pop()
+        loose, groups = Node("div", {}, node), []
+        loose.shown = node.shown
+        for child in node.children:
+            if isinstance(child, Node) and child.tag in ROW_GROUPS:
+                groups += [child] if child.visible() else []
+            elif isinstance(child, str) or child.tag not in ("tr", "colgroup", "col"):
+                loose.children.append(child)
+        yield loose
+        todo += reversed(groups)
+
+
+def span(cell: Node, name: str, most: int) -> int:
+    value = whole(cell.attrs.get(name))
+    return 1 if value is None else most if name == "rowspan" and value == 0 else min(max(value, 1), most)
+
+
+def table_lines(node: Node):
+    """Rows with cells aligned by column; a cell of several lines takes several lines, one over several rows keeps its columns
+    in all of them.  Every visible part of the table is kept.  Columns without any text take no room."""
     out = Lines()
     for loose in loose_parts(node):
-        out.add(block_lines(loose))
-    rows = []
-    for row in rows_of(node):
-        cells: list[list[str]] = []
+        out.add((yield block_lines(loose)))
+    rows: list[dict[int, list[str]]] = []
+    taken: list[tuple[int, int, int]] = []  # first and past-the-end column of cells of rows above, and the last row they reach
+    before = None
+    for k, (group, row) in enumerate(rows_of(node)):
+        taken = sorted(t for t in taken if t[2] >= k) if group is before else []
+        before, cells, column, passed = group, {}, 0, 0
         for cell in row.children:
             if isinstance(cell, str) and not (cell.strip() and row.shown) or isinstance(cell, Node) and (
                     not cell.visible() or cell.tag == "form" and not cell.children):
                 continue
-            lines = [line for line in block_lines(cell)] if isinstance(cell, Node) else [" ".join(cell.split())]
-            cells += [lines] + [[]] * (span(cell) - 1 if isinstance(cell, Node) else 0)
+            while passed < len(taken) and taken[passed][0] <= column:
+                column, passed = max(column, taken[passed][1]), passed + 1
+            cells[column] = (yield block_lines(cell)) if isinstance(cell, Node) else [" ".join(cell.split())]
+            wide, high = (span(cell, "colspan", WIDEST_SPAN), span(cell, "rowspan", HIGHEST_SPAN)) if isinstance(cell, Node) else (1, 1)
+            if high > 1:
+                taken.append((column, column + wide, k + high - 1))
+            column += wide
         rows.append(cells)
-    widths = [0] * max(map(len, rows), default=0)
+    widths: dict[int, int] = {}
     for cells in rows:
-        for k, lines in enumerate(cells):
-            widths[k] = max([widths[k], *(len(x) for x in lines if len(x) <= WIDEST_CELL)])
+        for column, lines in cells.items():
+            if lines:
+                widths[column] = max([widths.get(column, 0), *(len(x) for x in lines if len(x) <= WIDEST_CELL)])
+    columns = sorted(widths)
+    place = {column: at for at, column in enumerate(columns)}
     for cells in rows:
-        for k in range(max(map(len, cells), default=0)):
-            line = "  ".join((c[k] if k < len(c) else "").ljust(w) for c, w in zip(cells, widths)).rstrip(" ")
+        filled = max((place[c] + 1 for c, lines in cells.items() if lines), default=0)
+        for k in range(max(map(len, cells.values()), default=0)):
+            line = "  ".join((cells[c][k] if c in cells and k < len(cells[c]) else "").ljust(widths[c]) for c in columns[:filled]).rstrip(" ")
             out.add([line])
     return out.lines
 
 
-def block_lines(node: Node) -> list[str]:
+def run(steps):
+    """Runs a generator that yields generators whose results it needs: calls without depth."""
+    stack, value = [steps], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
+
+
+def block_lines(node: Node):
     out = Lines()
-    render(node, out)
+    yield render(node, out)
     out.end_line()
     return out.lines
 
@@ -354,9 +408,29 @@ def whole(value: str | None) -> int | None:
     return int(value) if value and value.isascii() and value.isdigit() and len(value) < 10 else None
 
 
-def render(node: Node, out: Lines) -> None:
+def numeral(number: int, kind: str | None) -> str:
+    """A list number in the style of the list's type."""
+    if kind in ("a", "A") and number > 0:
+        letters = ""
+        while number > 0:
+            number, k = divmod(number - 1, 26)
+            letters = chr(ord(kind) + k) + letters
+        return letters
+    if kind in ("i", "I") and 0 < number < 4000:
+        roman = ""
+        for value, sign in ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"),
+                            (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")):
+            roman += sign * (number // value)
+            number %= value
+        return roman if kind == "i" else roman.upper()
+    return str(number)
+
+
+def render(node: Node, out: Lines):
     number = whole(node.attrs.get("start")) if node.tag == "ol" else None
-    number = 1 if number is None else number
+    down = node.tag == "ol" and "reversed" in node.attrs
+    if number is None:
+        number = sum(isinstance(c, Node) and c.tag == "li" and c.visible() for c in node.children) if down else 1
     closed = node.tag == "details" and "open" not in node.attrs
     for child in node.children:
         if closed and not (isinstance(child, Node) and child.tag == "summary"):
@@ -389,48 +463,48 @@ def render(node: Node, out: Lines) -> None:
                 out.inline(" " + child.attrs["alt"] + " ")
         elif child.tag == "table":
             out.space()
-            out.add(table_lines(child))
+            out.add((yield table_lines(child)))
             out.space()
         elif child.tag == "li":
             value = whole(child.attrs.get("value"))
             number = number if value is None else value
-            mark = "- " if node.tag != "ol" else f"{number}. "
-            number += 1
-            out.add(indented(block_lines(child), mark))
+            mark = "- " if node.tag != "ol" else f"{numeral(number, child.attrs.get('type') or node.attrs.get('type'))}. "
+            number += -1 if down else 1
+            out.add(indented((yield block_lines(child)), mark))
         elif child.tag in ("dd", "blockquote"):
-            out.add(indented(block_lines(child), "    " if child.tag == "dd" else "  "))
+            out.add(indented((yield block_lines(child)), "    " if child.tag == "dd" else "  "))
         elif child.tag in BLOCK:
             out.end_line()
             if child.tag in SPACED and node.tag != "li":
                 out.space()
-            render(child, out)
+            yield render(child, out)
             out.end_line()
             if child.tag in SPACED and node.tag != "li":
                 out.space()
         else:
             apart = " " if child.apart(node) else ""
             out.inline(apart)
-            render(child, out)
+            yield render(child, out)
             out.inline(apart)
 
 
 def rendered(html: str | None) -> str | None:
     if html is None:
         return None
-    return "\n".join(block_lines(TreeBuilder(html).root))
+    return "\n".join(run(block_lines(TreeBuilder(html).root)))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text`` in place of ``html``."""
     others = [c for c in pages.columns if c not in ("html", "text")]
 
-    def run(batches):
+    def render_batches(batches):
         for batch in batches:
             text = pa.array([rendered(h) for h in batch.column("html").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), text], names=[*others, "text"])
 
     kinds = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in others)
-    return pages.select(*others, F.col("html")).mapInArrow(run, kinds + "text string")
+    return pages.select(*others, F.col("html")).mapInArrow(render_batches, kinds + "text string")
 
 
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,3 +87,29 @@ DRAWN = {
 @pytest.mark.parametrize("html", DRAWN)
 def test_drawings_formulas_and_open_heads(html):
     assert rendered(html) == DRAWN[html]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A  B\n   C"),
+    ("<table><tr><td>a<td rowspan=0>B<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  B  c\nd     e\nf     g"),
+    ("<table><tbody><tr><td rowspan=9>A<td>b<tbody><tr><td>c</table>", "A  b\nc"),  # a span ends with its row group
+    ("<table><tr><td rowspan=2 colspan=2>AA<td>b<tr><td>c<tr><td>d<td>e<td>f</table>", "AA     b\n       c\nd   e  f"),
+    ("<p>a<div>b</div>c</p>d", "a\n\nb\nc\n\nd"),
+    ("<p style='/*display:none*/color:red'>x", "x"),
+    ("<p style='content:\"display:none\"'>y", "y"),
+    ("<p style='display:none;display:block'>z", "z"),
+    ("<p style='display : none !important ; display:block'>z", ""),
+    ("<p style='color:red;; DISPLAY:NONE'>z", ""),
+    ("<p style='visibility:hidden'>a<b style='visibility:visible'>b</b>", "b"),
+    ("<ol reversed><li>x<li>y</ol>", "2. x\n1. y"),
+    ("<ol type=a start=26><li>x<li>y</ol>", "z. x\naa. y"),
+    ("<ol type=I start=9><li>x<li type=1>y</ol>", "IX. x\n10. y"),
+])
+def test_spans_styles_and_numbers(html, text):
+    assert rendered(html) == text
+
+
+def test_depth_changes_nothing():
+    inner = "<table><tr><td>aa<td>b<tr><td>c<td>d</table><ul><li>x<ul><li>y</ul></ul>"
+    assert rendered("<div>" * 5000 + inner) == rendered(inner) == "aa  b\nc   d\n\n- x\n  - y"
+    assert rendered("<b>" * 50_000 + "deep") == "deep"
