@@ -4,9 +4,9 @@ Pairs are joined by asymmetric q-chunks.  The shorter word (either, of two as lo
 halves; the other contributes the positional grams a half may lie at: as long as the half, and shifted by at most one,
 which the difference of lengths tells.  One edit touches one half only, so the other half is a gram of the other word.
 
-A half that many words share would make all their pairs.  Its words are joined by longer keys instead: with the shared half
-taken away, the rests are one edit apart too and are chunked again.  A key so keeps all of a word but a hole that shrinks
-to a character, and no key holds more than ``KEY_PAIRS`` possible pairs before pairs are formed.  A pair is formed at the
+A half that many words share would make all their pairs.  Words are joined by longer keys instead: with the shared half
+taken away, the rests are one edit apart too and are chunked again.  A key so keeps all of a word but a hole, first a quarter, that
+shrinks to a character, and no key holds more than ``KEY_PAIRS`` possible pairs before pairs are formed.  A pair is formed at the
 first of its keys only, so none is formed twice, and verified by edit distance.
 
 Each word's nearest frequent word is its form, and roots follow forms by pointer doubling: occurrences grow tenfold
@@ -28,15 +28,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import stored, table, texts_of
-from stratalake.operators.joins import skew_join
+from stratalake.operators.joins import sized_join
 
 SHORTEST, LEAST_COUNT, FORM_TIMES = 7, 2, 10
 #: A document's run of letters slips if this divides its hash.
 SLIP_EVERY = 31
 #: Possible pairs of a key; beyond that its words get longer keys.
 KEY_PAIRS = 2_000
+#: Bytes of a key in the list of those with more, about.
+HOT_BYTES = 100
 #: Distinct words that a task counts before it hands the counts on.
-HELD_WORDS = 200_000
+HELD_WORDS, ROWS = 200_000, 512
 LETTERS = r"[A-Za-zÀ-ÿ]"
 _FOLDED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -59,9 +61,8 @@ def _words(shortest: int, every: int, batches):
         held.clear()
         return out
 
-    for batch in batches:
-        ids = batch.column("id").to_pylist()
-        for doc_id, text in zip(ids, texts_of(batch)):
+    for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
+        for doc_id, text in zip(batch.column("id").to_pylist(), texts_of(batch)):
             for run, n in Counter(runs_of((text or b"").translate(_FOLDED).decode())).items():
                 word = slipped(doc_id, run, every)
                 if len(word) >= shortest:
@@ -104,24 +105,25 @@ def near_pairs(vocabulary: DataFrame, key_pairs: int = KEY_PAIRS) -> DataFrame:
     rows = (vocabulary.withColumn("role", F.explode(F.array(role(True, long), role(False, long), role(False, long - 1))))
             .select("word", "n", "role.*", F.lit("").alias("key"), F.col("word").alias("rest"), F.lit(None).cast("array<string>").alias("skipped"))
             .withColumn("skipped", F.coalesce("skipped", F.array().cast("array<string>"))))
-    found, level = [], 0
+    rows, level, found = _grown(rows, 0), 1, []
     while True:
-        rows = stored(_grown(rows, level))
+        # Half a word is shared by too many others: the first keys hold two chunks already.
+        rows, level = stored(_grown(rows, level)), level + 1
         sizes = rows.groupBy("key").agg(F.count_if("chunks").alias("nc"), F.count_if(~F.col("chunks")).alias("ng"), F.max("of").alias("left"))
         # A hole of one character cannot shrink; the words that share all but that are few by themselves.
-        deeper = (F.col("nc") * F.col("ng") > key_pairs) & (F.col("left") > 1)
-        sizes = stored(sizes.filter("nc > 0 and ng > 0").select("key", deeper.alias("deeper")))
-        sized = skew_join(rows, sizes, ["key"])
-        cold = sized.filter(~F.col("deeper"))
+        hot = stored(sizes.filter((F.col("nc") * F.col("ng") > key_pairs) & (F.col("left") > 1)).select("key", F.lit(True).alias("hot")))
+        n_hot = hot.count()
+        marked = sized_join(rows, hot, ["key"], n_hot * HOT_BYTES, "left") if n_hot else rows.withColumn("hot", F.lit(None).cast("boolean"))
+        cold = marked.filter("hot is null")
         chunk = cold.filter("chunks").select("key", F.col("word").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("skipped").alias("sa"))
         gram = cold.filter(~F.col("chunks")).select("key", F.col("word").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("skipped").alias("sb"))
         # Of two words as long, each contributes both; the smaller one's chunks count.
         once = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
         near = (F.levenshtein("ra", "rb", 1) == 1) & ~F.arrays_overlap("sa", "sb")
         found.append(stored(chunk.join(gram, "key").filter(once & near).select("a", "na", "b", "nb")))
-        if sizes.filter("deeper").isEmpty():
+        if not n_hot:
             return reduce(DataFrame.unionByName, found)
-        rows, level = sized.filter("deeper").drop("deeper"), level + 1
+        rows = marked.filter("hot").drop("hot")
 
 
 def variants(vocabulary: DataFrame, form_times: int = FORM_TIMES, key_pairs: int = KEY_PAIRS) -> DataFrame:
