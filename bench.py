@@ -42,7 +42,7 @@ def large_warp(spark, sf):
     grid = warp.target_meta(spark, meta, 4326)
     from dataclasses import replace
     fine = replace(grid, dx=grid.dx / 6, dy=grid.dy / 6, width=grid.width * 6, height=grid.height * 6)
-    return warp.warp_pixels(spark, source, fine)
+    return warp.warp_tiles(spark, source, fine)
 
 
 def run(df) -> float:

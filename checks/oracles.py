@@ -163,6 +163,15 @@ oracle("q_clip_points_utm", "fx_samples_utm", f"""select s.sample_id from fx_sam
 _BLOCKS = {"blk": """select * from (values (0, 70.1e0, 35.1e0, 70.4e0, 35.4e0), (1, 70.3e0, 35.3e0, 70.7e0, 35.6e0)) t(m, xa, ya, xb, yb)"""}
 oracle("q_clip_points_multimask", "fx_samples", """select distinct sample_id from fx_samples join blk
   on lon between xa and xb and lat between ya and yb""", _BLOCKS)
+_COAST = {"shore": """select ((p_size - 1) * 25 + cast(split_part(p_brand, '#', 2) as int) - 1) * 2 + p_partkey % 2 as k,
+              sum(p_partkey) % 97 as height from part group by 1""",
+          "coastline": """select k as i, 70.1e0 + 0.8e0 * (k + 0.5e0) / 2500e0 as x, 35.5e0 + 0.3e0 * cast(height as double) / 97e0 as y from shore
+              union all select * from (values (-1, 70.1e0, 35.1e0), (9999, 70.9e0, 35.1e0), (10000, 70.1e0, 35.1e0)) t(i, x, y)""",
+          "coast_edge": """select x1, y1, x2, y2 from (select x as x1, y as y1, lead(x) over (order by i) as x2, lead(y) over (order by i) as y2 from coastline) s
+              where x2 is not null union all select * from (values (70.4e0, 35.2e0, 70.6e0, 35.2e0), (70.6e0, 35.2e0, 70.6e0, 35.4e0),
+              (70.6e0, 35.4e0, 70.4e0, 35.4e0), (70.4e0, 35.4e0, 70.4e0, 35.2e0)) t(a, b, c, d)"""}
+oracle("q_clip_points_coast", "fx_samples", f"""select s.sample_id from fx_samples s cross join coast_edge e
+  group by s.sample_id having {inside('s.lon', 's.lat')}""", _COAST)
 oracle("q_clip_classify", "fx_poly fx_poly_edge fx_ring fx_edge", f"""select fid, case when bool_or(meets) or bool_or(holds) then 'BOUNDARY'
   when bool_or(isin) then 'INSIDE' else 'OUTSIDE' end as position from (
   select s.fid, s.i, bool_or(len(list_filter({cut_params('s', 'e')}, lambda t: t between 0 and 1)) > 0) as meets,

@@ -276,6 +276,11 @@ def q_clip_points_multimask(spark, sf):
     return clip.clip_points(S.samples(spark, sf), mask.build_mask(S.study_blocks(spark))).df.select("sample_id")
 
 
+@query
+def q_clip_points_coast(spark, sf):
+    return clip.clip_points(S.samples(spark, sf), mask.build_mask(S.coast(spark, sf))).df.select("sample_id")
+
+
 @query
 def q_clip_classify(spark, sf):
     return clip.classify(S.polygons(spark, sf), mask.build_mask(S.study_area(spark))).select("fid", "position")

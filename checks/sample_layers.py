@@ -104,6 +104,24 @@ def study_blocks(spark: SparkSession) -> Layer:
     return polygon_layer(spark, "study_blocks", BLOCKS)
 
 
+COAST_VERTICES = 2500
+
+
+def coast(spark: SparkSession, sf: str) -> Layer:
+    """A study area with a dense coast and an inland hole: a vertex for each size, brand and parity of part keys, of which there are at
+    most ``COAST_VERTICES`` whatever the table's size."""
+    k = ((F.col("p_size") - 1) * 25 + F.substring_index("p_brand", "#", -1).cast("int") - 1) * 2 + F.col("p_partkey") % 2
+    shore = (table(spark, sf, "part").groupBy(k.alias("k")).agg((F.sum("p_partkey") % 97).alias("height"))
+             .select("k", (70.1 + 0.8 * (F.col("k") + 0.5) / float(COAST_VERTICES)).alias("x"), (35.5 + 0.3 * F.col("height") / 97.0).alias("y")))
+    ring = shore.agg(F.array_sort(F.collect_list(F.struct("k", "x", "y"))).alias("v")).select(
+        F.transform("v", lambda v: G.vertex(v["x"], v["y"])).alias("v"))
+    corner = lambda x, y: G.vertex(F.lit(x), F.lit(y))
+    closed = F.concat(F.array(corner(70.1, 35.1)), F.col("v"), F.array(corner(70.9, 35.1), corner(70.1, 35.1)))
+    hole = F.array(*[corner(x, y) for x, y in ((70.4, 35.2), (70.6, 35.2), (70.6, 35.4), (70.4, 35.4), (70.4, 35.2))])
+    return Layer("coast", ring.select(F.lit(1).cast("long").alias("fid"), G.polygon(closed, hole).alias("geometry")), 4326,
+                 kinds=frozenset({"polygon"}))
+
+
 def line_table(spark: SparkSession, sf: str, scaled: bool = False) -> DataFrame:
     x = ((F.col("l_partkey") * 37) % 1000).cast("double")
     y = ((F.col("l_suppkey") * 91 + F.col("l_partkey") * 13) % 1000).cast("double")

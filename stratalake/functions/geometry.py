@@ -14,6 +14,7 @@ VERTEX = "struct<x:double,y:double>"
 PATH = f"array<{VERTEX}>"
 GEOMETRY = f"struct<type:string,parts:array<array<{PATH}>>>"
 
+ENVELOPE = ("xmin", "ymin", "xmax", "ymax")
 POINTS = ("Point", "MultiPoint")
 LINES = ("LineString", "MultiLineString")
 POLYGONS = ("Polygon", "MultiPolygon")

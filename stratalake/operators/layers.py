@@ -16,16 +16,18 @@ PATH_ROWS = 65536
 @dataclass(frozen=True)
 class Layer:
     """One vector layer. ``key`` names the columns that identify a row; ``kinds`` (point, line,
-    polygon) the kinds of geometry it holds, where known."""
+    polygon) the kinds of geometry it holds, where known; ``boxed`` the same rows with stored envelope columns, where
+    the source has them."""
 
     name: str
     df: DataFrame
     epsg: int | None = 4326
     key: tuple[str, ...] = ("fid",)
     kinds: frozenset[str] | None = None
+    boxed: DataFrame | None = None
 
     def with_df(self, df: DataFrame) -> Layer:
-        return replace(self, df=df)
+        return replace(self, df=df, boxed=None)
 
     def may_hold(self, kind: str) -> bool:
         return self.kinds is None or kind in self.kinds

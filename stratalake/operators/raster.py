@@ -8,16 +8,18 @@ tile key, by broadcast while the raster is small, by shuffle with hot tiles spre
 
 from __future__ import annotations
 
+import math
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.functions import tiles as K
 from stratalake.operators.joins import sized_join
 from stratalake.operators.layers import union_all
-from stratalake.operators.mask import Mask, join_bands
+from stratalake.operators.mask import EMPTY, FULL, Mask
 
-TILE = 64
+TILE = K.TILE
 TILE_KEY = ["tile_r", "tile_c"]
 
 
@@ -94,7 +96,7 @@ def pixels(raster: Raster, null_nodata: bool = False) -> DataFrame:
                       (F.col("c0") + F.col("_k") % F.col("w")).alias("c"), v.alias("v"))
 
 
-def _null_nodata(data: Column, meta: RasterMeta) -> Column:
+def null_nodata(data: Column, meta: RasterMeta) -> Column:
     """Values of a tile; nodata and NaN are NULL."""
     nothing = F.lit(None).cast("double")
     if meta.nodata is None:
@@ -114,33 +116,46 @@ def raster_profile(raster: Raster) -> DataFrame:
 
 
 def mosaic(rasters: list[Raster], name: str | None = None) -> Raster:
-    """One seamless raster from several on the first one's grid.  Where they overlap the first
-    raster of the list with a value other than nodata wins."""
+    """One seamless raster from several on the first one's grid; rasters of other pixel sizes give each pixel the value under
+    its centre.  Where they overlap the first raster of the list with a value other than nodata wins; gaps between them
+    are nodata.  Tiles are cut, moved and merged whole."""
     first = rasters[0].meta
     for other in rasters[1:]:
-        same = abs(other.meta.dx - first.dx) < 1e-9 * first.dx and abs(other.meta.dy - first.dy) < 1e-9 * first.dy
-        if not same or other.meta.epsg != first.epsg:
-            raise ValueError(f"raster '{other.meta.raster}' differs from '{first.raster}' in CRS or pixel size")
+        if other.meta.epsg != first.epsg:
+            raise ValueError(f"raster '{other.meta.raster}' differs from '{first.raster}' in CRS")
     x0, y0 = min(r.meta.x0 for r in rasters), max(r.meta.y0 for r in rasters)
+    # Whole pixels to the left and above, so that the first raster's own pixels stay as they are.
+    x0 = first.x0 - math.ceil((first.x0 - x0) / first.dx - 1e-6) * first.dx
+    y0 = first.y0 + math.ceil((y0 - first.y0) / first.dy - 1e-6) * first.dy
     x1, y1 = max(r.meta.bounds[2] for r in rasters), min(r.meta.bounds[1] for r in rasters)
-    meta = replace(first, raster=name or first.raster, x0=x0, y0=y0,
-                   width=round((x1 - x0) / first.dx), height=round((y0 - y1) / first.dy))
-    parts = []
-    for order, raster in enumerate(rasters):
-        shift_c = round((raster.meta.x0 - x0) / first.dx)
-        shift_r = round((y0 - raster.meta.y0) / first.dy)
-        parts.append(pixels(raster, null_nodata=True).select(
-            "band", (F.col("r") + shift_r).alias("r"), (F.col("c") + shift_c).alias("c"), "v",
-            F.lit(order).alias("ord")))
-    ranked = F.min(F.when(F.col("v").isNotNull(), F.struct("ord", "v")))["v"]
-    nodata = F.lit(first.nodata).cast("double")
-    merged = union_all(parts).groupBy("band", "r", "c").agg(F.coalesce(ranked, nodata).alias("v"))
-    return from_pixels(merged, meta)
+    meta = replace(first, raster=name or first.raster, x0=x0, y0=y0, bands=max(r.meta.bands for r in rasters),
+                   width=math.ceil((x1 - x0) / first.dx - 1e-6), height=math.ceil((y0 - y1) / first.dy - 1e-6))
+    pieces = union_all([_to_grid(raster, meta, order, raster.meta.nodata) for order, raster in enumerate(rasters)])
+    return _assembled(pieces, meta, whole=True)
+
+
+def _to_grid(raster: Raster, meta: RasterMeta, order: int = 0, nodata: float | None = None) -> DataFrame:
+    """Pieces of tiles of another grid, one narrow pass over the tiles."""
+    return raster.tiles.select("band", "r0", "c0", "h", "w", "data").mapInArrow(K.to_grid(raster.meta, meta, nodata, order), K.PIECES)
+
+
+def _assembled(pieces: DataFrame, meta: RasterMeta, whole: bool = False) -> Raster:
+    """Tiles from pieces: what is shuffled are parts of tiles as arrays, never pixels.  ``whole``: every tile of the grid, those without
+    any piece too, and missing values as nodata."""
+    grouped = pieces.groupBy("band", *TILE_KEY).agg(F.collect_list(F.struct("ord", "dr", "dc", "h", "w", "data")).alias("pieces"))
+    if whole:
+        spark = pieces.sparkSession
+        across = -(-meta.width // TILE)
+        n_tiles = across * -(-meta.height // TILE)
+        grid = spark.range(n_tiles * meta.bands).select(
+            (F.floor(F.col("id") / n_tiles) + 1).cast("int").alias("band"), F.floor(F.col("id") % n_tiles / across).alias("tile_r"),
+            (F.col("id") % n_tiles % across).alias("tile_c"))
+        grouped = grid.join(grouped, ["band", *TILE_KEY], "left")
+    return Raster(meta, grouped.mapInArrow(K.assemble(meta.width, meta.height, meta.nodata if whole else None), K.TILES))
 
 
 def crop_window(meta: RasterMeta, bounds: tuple[float, float, float, float]) -> tuple[int, int, int, int]:
     """Rows and columns (first, past-the-end) of the smallest pixel window around the bounds."""
-    import math
     xmin, ymin, xmax, ymax = bounds
     c_lo = max(0, math.floor((xmin - meta.x0) / meta.dx + 1e-9))
     c_hi = min(meta.width, math.ceil((xmax - meta.x0) / meta.dx - 1e-9))
@@ -158,12 +173,17 @@ def _window_tiles(raster: Raster, window: tuple[int, int, int, int]) -> DataFram
 
 def crop(raster: Raster, bounds: tuple[float, float, float, float]) -> Raster:
     """Pixels of the window around the bounds, with rows, columns and origin re-based."""
-    window = crop_window(raster.meta, bounds)
+    return _windowed(raster, crop_window(raster.meta, bounds))
+
+
+def _windowed(raster: Raster, window: tuple[int, int, int, int]) -> Raster:
+    """Tiles of the window.  One that starts at a tile's corner only needs its last tiles cut; else parts of up to four tiles
+    make a new one."""
     meta = _cropped_meta(raster.meta, window)
-    r_lo, r_hi, c_lo, c_hi = window
-    inside = pixels(Raster(raster.meta, _window_tiles(raster, window))).filter(
-        F.col("r").between(r_lo, r_hi - 1) & F.col("c").between(c_lo, c_hi - 1))
-    return from_pixels(inside.withColumns({"r": F.col("r") - r_lo, "c": F.col("c") - c_lo}), meta)
+    tiles = Raster(raster.meta, _window_tiles(raster, window))
+    if window == (0, raster.meta.height, 0, raster.meta.width):
+        return Raster(meta, raster.tiles)
+    return _assembled(_to_grid(tiles, meta), meta)
 
 
 def _cropped_meta(meta: RasterMeta, window: tuple[int, int, int, int]) -> RasterMeta:
@@ -174,64 +194,76 @@ def _cropped_meta(meta: RasterMeta, window: tuple[int, int, int, int]) -> Raster
                    width=c_hi - c_lo, height=r_hi - r_lo)
 
 
-def mask_pixels(raster: Raster, mask: Mask, fill: float | None = None) -> DataFrame:
-    """``band, r, c, v`` of the window around the mask; pixels whose centre lies outside get ``fill``
-    (default: the raster's nodata, NULL when it has none).
+def masked_tiles(raster: Raster, mask: Mask, fill: float | None = None) -> DataFrame:
+    """Tiles of the window around the mask; pixels whose centre lies outside get ``fill`` (default: the raster's nodata, NULL when it has none).
 
-    Tiles outside the window are never exploded.  Each tile row has one y, so it joins one band of
-    the mask and its crossings are computed once for all its pixels.
+    The cells under a tile tell most tiles inside, which stay as they are, or outside, which are filled.  For the rest the
+    leaves they meet are brought to the tile's number, not to its values: the flags of its pixels are worked out once for all
+    bands and join the tiles as one array.
     """
     meta = raster.meta
     window = crop_window(meta, mask.bounds) if mask.bounds else (0, 0, 0, 0)
-    r_lo, r_hi, c_lo, c_hi = window
     _cropped_meta(meta, window)
-    fill = meta.nodata if fill is None else fill
-    rows = _window_tiles(raster, window).select(
-        "band", "r0", "c0", "w", "data", F.explode(F.sequence(F.lit(0), F.col("h") - 1)).alias("_k"))
-    rows = rows.select(
-        F.col("band").alias("raster_band"), (F.col("r0") + F.col("_k")).alias("r"), "c0",
-        F.slice("data", F.col("_k") * F.col("w") + 1, F.col("w")).alias("_row"))
-    rows = rows.filter(F.col("r").between(r_lo, r_hi - 1)).withColumn("y", meta.centre_y(F.col("r")))
-    y = F.col("y")
-    in_height = y.between(F.lit(mask.bounds[1]), F.lit(mask.bounds[3]))
-    rows = rows.withColumn("band", F.when(in_height, mask.band_of(y)))
-    joined = join_bands(rows, mask, "left")
-    # Where this pixel row meets the mask: x of every half-open crossing, and edges touching y.
-    scan = F.transform("groups", lambda g: F.named_struct(
-        F.lit("xs"), F.transform(F.filter(g["edges"], lambda e: (e["y1"] > y) != (e["y2"] > y)),
-                    lambda e: (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]),
-        F.lit("near"), F.filter(g["edges"], lambda e: y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))))
-    scanned = joined.select("raster_band", "r", "c0", "y", scan.alias("_scan"), F.posexplode("_row").alias("_k", "v"))
-    c = F.col("c0") + F.col("_k")
-    scanned = scanned.select("raster_band", "r", c.alias("c"), "v", "y", meta.centre_x(c).alias("x"), "_scan")
-    x = F.col("x")
-
-    def inside_one(g):
-        odd = F.aggregate(g["xs"], F.lit(False), lambda acc, cross: acc != (x < cross))
-        touch = F.exists(g["near"], lambda e: (
-            (((e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])) == 0)
-            & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))))
-        return odd | touch
-    inside = F.coalesce(F.exists("_scan", inside_one), F.lit(False))
-    return (scanned.filter(F.col("c").between(c_lo, c_hi - 1))
-            .select(F.col("raster_band").alias("band"), "r", "c",
-                    F.when(inside, F.col("v")).otherwise(F.lit(fill).cast("double")).alias("v")))
+    fill = F.lit(meta.nodata if fill is None else fill).cast("double")
+    r_lo, r_hi, c_lo, c_hi = window
+    first_r, first_c = r_lo // TILE, c_lo // TILE
+    across = (c_hi - 1) // TILE - first_c + 1
+    n_tiles = across * ((r_hi - 1) // TILE - first_r + 1)
+    judged = _inside(raster.tiles.sparkSession.range(n_tiles).select(
+        (F.floor(F.col("id") / across) + first_r).alias("tile_r"), (F.col("id") % across + first_c).alias("tile_c")), meta, mask)
+    joined = sized_join(_window_tiles(raster, window), judged, TILE_KEY, n_tiles * TILE * TILE)
+    masked = F.zip_with("data", "inside", lambda v, inside: F.when(inside, v).otherwise(fill))
+    data = (F.when(F.col("position") == "INSIDE", F.col("data")).when(F.col("position") == "OUTSIDE", F.transform("data", lambda v: fill))
+            .otherwise(masked))
+    return joined.withColumn("data", data).select(*raster.tiles.columns)
+
+
+def _inside(tiles: DataFrame, meta: RasterMeta, mask: Mask) -> DataFrame:
+    """``tile_r, tile_c, position, inside`` of numbered tiles; flags only for those at the mask's boundary."""
+    c = F.col
+    last = lambda n, size: F.least((c(n) + 1) * TILE, F.lit(size)) - 1
+    x0, x1 = meta.centre_x(c("tile_c") * TILE), meta.centre_x(last("tile_c", meta.width))
+    y0, y1 = meta.centre_y(last("tile_r", meta.height)), meta.centre_y(c("tile_r") * TILE)
+    placed = tiles.withColumn("position", mask.box_position(x0, y0, x1, y1))
+    flags = F.lit(None).cast("array<boolean>").alias("inside")
+    whole = lambda x: F.least(F.greatest(F.floor(x), F.lit(0)), F.lit(mask.base - 1)).cast("int")
+    cells = (placed.filter("position = 'BOUNDARY'")
+             .withColumn("bx", F.explode(F.sequence(whole(mask.u(x0)), whole(mask.u(x1)))))
+             .withColumn("by", F.explode(F.sequence(whole(mask.v(y0)), whole(mask.v(y1)))))
+             .withColumn("state", mask.state(c("bx") + 0.5, c("by") + 0.5)))
+    scale = F.pow(F.lit(2.0), c("_level"))
+    leaves = mask.cells.select(F.floor(c("_cx") / scale).cast("int").alias("bx"), F.floor(c("_cy") / scale).cast("int").alias("by"), F.struct(
+        c("_full").alias("full"), c("_level").alias("level"), c("_cx").alias("cx"), c("_cy").alias("cy"), c("_x0").alias("x0"),
+        c("_y0").alias("y0"), c("_groups").alias("groups")).alias("leaf"))
+    nothing = F.lit(None)
+    full = F.struct(F.lit(True).alias("full"), F.lit(0).alias("level"), c("bx").alias("cx"), c("by").alias("cy"), nothing.cast("double").alias("x0"),
+                    nothing.cast("double").alias("y0"), nothing.cast(mask.cells.schema["_groups"].dataType).alias("groups"))
+    met = sized_join(cells, leaves, ["bx", "by"], mask.cell_bytes, "left")
+    cell = F.when(c("state") == FULL, full).otherwise(c("leaf"))
+    edge = (met.groupBy(*TILE_KEY, "position").agg(F.collect_list(F.when(c("state") != EMPTY, cell)).alias("cells"))
+            .mapInArrow(K.inside_tiles(meta, mask.origin, mask.size), "tile_r bigint, tile_c bigint, position string, inside array<boolean>"))
+    return placed.filter("position <> 'BOUNDARY'").select(*TILE_KEY, "position", flags).unionByName(edge)
+
+
+def mask_pixels(raster: Raster, mask: Mask, fill: float | None = None) -> DataFrame:
+    """``band, r, c, v`` of the window around the mask, see ``masked_tiles``."""
+    window = crop_window(raster.meta, mask.bounds) if mask.bounds else (0, 0, 0, 0)
+    r_lo, r_hi, c_lo, c_hi = window
+    masked = pixels(Raster(raster.meta, masked_tiles(raster, mask, fill)))
+    return masked.filter(F.col("r").between(r_lo, r_hi - 1) & F.col("c").between(c_lo, c_hi - 1))
 
 
 def clip_raster(raster: Raster, mask: Mask, fill: float | None = None) -> Raster:
     """Mask and crop to the study area."""
     window = crop_window(raster.meta, mask.bounds) if mask.bounds else (0, 0, 0, 0)
-    meta = _cropped_meta(raster.meta, window)
-    masked = mask_pixels(raster, mask, fill)
-    shifted = masked.withColumns({"r": F.col("r") - window[0], "c": F.col("c") - window[2]})
-    return from_pixels(shifted, meta)
+    return _windowed(Raster(raster.meta, masked_tiles(raster, mask, fill)), window)
 
 
 def halo_tiles(raster: Raster) -> DataFrame:
     """Tiles (nodata as NULL) widened by the first column of the right neighbour and the first row
     of the lower one: ``band, tile_r, tile_c, r0, c0, hw, data``.  Only tiles and their border strips
     are shuffled; a raster of one tile needs no shuffle."""
-    base = raster.tiles.withColumn("data", _null_nodata(F.col("data"), raster.meta))
+    base = raster.tiles.withColumn("data", null_nodata(F.col("data"), raster.meta))
     if raster.meta.width <= TILE and raster.meta.height <= TILE:
         return base.select("band", *TILE_KEY, "r0", "c0", F.col("w").alias("hw"), "data")
     w, h = F.col("w"), F.col("h")

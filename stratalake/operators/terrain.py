@@ -36,8 +36,8 @@ def normalize_xy(df: DataFrame, meta: RasterMeta, lon: str = "lon", lat: str = "
 
 def elevation_range(dem: Raster, band: int = 1) -> DataFrame:
     """One row ``range: struct<lo, hi>`` over the valid pixels, from per-tile extremes."""
-    from stratalake.operators.raster import _null_nodata
-    tiles = dem.band(band).tiles.select(_null_nodata(F.col("data"), dem.meta).alias("_d"))
+    from stratalake.operators.raster import null_nodata
+    tiles = dem.band(band).tiles.select(null_nodata(F.col("data"), dem.meta).alias("_d"))
     return tiles.agg(F.struct(F.min(F.array_min("_d")).alias("lo"), F.max(F.array_max("_d")).alias("hi")).alias("range"))
 
 
@@ -66,10 +66,11 @@ def _rgb_tiles(ortho: Raster, ignore_nodata: bool = False) -> DataFrame:
     """``tile_r, tile_c, r0, c0, w, red, green, blue``: 8-bit arrays per tile.
 
     Bands of one tile are brought together as arrays; pixels are not shuffled.  The scale is joint
-    over the three bands, a constant image is left unscaled, fractions are cut off.
+    over the three bands, a constant image is left unscaled, fractions are cut off.  NaN is a missing value: no colour.
     """
     used = (1, 2, 3) if ortho.meta.bands >= 3 else (1,)
-    tiles = ortho.tiles.filter(F.col("band").isin(*used))
+    present = F.transform("data", lambda v: F.nanvl(v, F.lit(None).cast("double")))
+    tiles = ortho.tiles.filter(F.col("band").isin(*used)).withColumn("data", present)
     nodata = ortho.meta.nodata
     valid = F.col("data")
     if ignore_nodata and nodata is not None:

@@ -189,15 +189,16 @@ def read_parquet_layer(spark: SparkSession, path: str, name: str, epsg: int | No
     """Layer written by this package; the EPSG code is kept in the geometry column's metadata.
 
     Rows are selected before they are numbered, so that the filter reaches the scan.  A stored ``fid`` is tried
-    in a pass over that column alone; lines stored in several rows are named by ``fid`` and ``seq``.
+    in a pass over that column alone; lines stored in several rows are named by ``fid`` and ``seq``.  Stored envelopes
+    stay with the layer as ``boxed``, for clips to push into the scan.
     """
     df = spark.read.parquet(path)
     stored = df.schema["geometry"].metadata.get("epsg")
     df = attribute_filter(select_layer(df, layer), filter_expr, name)
-    df = df.drop("xmin", "ymin", "xmax", "ymax")
-    if "seq" in df.columns and "fid" in df.columns:
-        return Layer(name, df, epsg or stored, ("fid", "seq"))
-    return Layer(name, with_fid(_typed_fid(df)), epsg or stored)
+    in_rows = "seq" in df.columns and "fid" in df.columns
+    df = df if in_rows else with_fid(_typed_fid(df))
+    boxed = df if {*G.ENVELOPE} <= {*df.columns} else None
+    return Layer(name, df.drop(*G.ENVELOPE), epsg or stored, ("fid", "seq") if in_rows else ("fid",), boxed=boxed)
 
 
 def select_layer(df: DataFrame, layer: str | None) -> DataFrame:

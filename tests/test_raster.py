@@ -64,7 +64,100 @@ def test_mosaic_first_valid_wins(spark):
     got = {(p["r"], p["c"]): p["v"] for p in pixels(out).filter("r = 1").collect()}
     assert got[(1, 65)] == 133.0 and got[(1, 100)] == 3 + 2 * 40
     with pytest.raises(ValueError):
-        raster.mosaic([a, Raster(replace(b.meta, dx=0.02), b.tiles)])
+        raster.mosaic([a, Raster(replace(b.meta, epsg=3857), b.tiles)])
+
+
+def test_mosaic_of_other_pixel_sizes_and_gaps(spark):
+    a = ramp(spark, 70, 70, nodata=-1.0)
+    coarse = ramp(spark, 40, 30, nodata=-1.0, x0=10.0 + 0.01 * 100, y0=45.0 + 0.05, d=0.03)
+    out = raster.mosaic([a, coarse])
+    assert (out.meta.width, out.meta.height, out.meta.dx) == (220, 90, 0.01) and abs(out.meta.y0 - 45.05) < 1e-9
+    got = {(p["r"], p["c"]): p["v"] for p in pixels(out).collect()}
+    assert len(got) == 220 * 90
+    for (r, c), v in got.items():
+        x, y = 10.0 + (c + .5) * 0.01, 45.05 - (r + .5) * 0.01
+        if c < 70 and 5 <= r < 75:
+            want = 3 * (r - 5) + 2 * c
+        elif c >= 100:
+            want = 3 * int((45.05 - y) / 0.03) + 2 * int((x - 11.0) / 0.03)
+        else:
+            want = -1.0  # a gap
+        assert v == want, (r, c)
+    assert raster.raster_profile(out).first()["width"] == 220
+
+
+def test_no_pixel_is_shuffled(spark, make_layer):
+    """What goes through an exchange are tiles, parts of tiles and cells of the mask."""
+    ring = [(10.2 + .6 * k / 40, 44.2 + .3 * (k % 2)) for k in range(41)] + [(10.8, 44.8), (10.2, 44.8), (10.2, 44.2)]
+    m = mask.build_mask(make_layer([(1, "Polygon", [[ring]])]))
+    r = ramp(spark)
+    outputs = {"crop": raster.crop(r, (10.21, 44.21, 10.79, 44.79)).tiles, "mask": raster.masked_tiles(r, m),
+               "clip": raster.clip_raster(r, m).tiles, "mosaic": raster.mosaic([r, ramp(spark, x0=11.0)]).tiles,
+               "warp": warp.warp_tiles(spark, replace_meta(r, 32633, 500000.0, 4649776.0, 10.0), warp.target_meta(
+                   spark, replace_meta(r, 32633, 500000.0, 4649776.0, 10.0).meta, 4326))}
+    source = r.tiles._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    for name, tiles in outputs.items():
+        plan = tiles._jdf.queryExecution().optimizedPlan().toString()
+        generators = [line for line in plan.splitlines() if "Generate" in line]
+        assert not any("posexplode(data" in g for g in generators), name
+    assert source >= 1
+
+
+def replace_meta(r, epsg, x0, y0, d):
+    return Raster(replace(r.meta, epsg=epsg, x0=x0, y0=y0, dx=d, dy=d), r.tiles)
+
+
+def test_mask_by_tiles_is_the_mask_by_pixels(spark, make_layer):
+    import random
+    rng = random.Random(5)
+    import math
+    ring = [(10.75 + .7 * rng.uniform(.4, 1) * math.cos(k / 30), 44.35 + .6 * rng.uniform(.4, 1) * math.sin(k / 30)) for k in range(188)]
+    hole = [(10.7, 44.3), (10.8, 44.3), (10.8, 44.4), (10.7, 44.4), (10.7, 44.3)]
+    m = mask.build_mask(make_layer([(1, "Polygon", [[ring + ring[:1], hole]]), (2, "Polygon", [[[(10.1, 44.9), (10.3, 44.9), (10.3, 45.2), (10.1, 44.9)]]])]))
+    r = ramp(spark, 200, 190)
+    got = raster.mask_pixels(r, m)
+    centres = pixels(r).withColumns({"x": r.meta.centre_x(F.col("c")), "y": r.meta.centre_y(F.col("r"))})
+    want = mask.flag_inside(centres, "x", "y", m).select("r", "c", F.when(F.col("inside"), F.col("v")).alias("w"))
+    joined = got.join(want, ["r", "c"])
+    assert joined.count() == got.count() > 10_000 and joined.filter("not v <=> w").count() == 0
+    assert 0 < got.filter("v is not null").count() < got.count()
+    tiles = {(t["tile_r"], t["tile_c"]): t["position"] for t in raster._inside(
+        spark.range(12).selectExpr("id div 4 as tile_r", "id % 4 as tile_c"), r.meta, m).collect()}
+    assert len(tiles) == 12
+
+
+def test_untouched_tiles_of_a_mask_keep_their_values(spark, make_layer):
+    m = mask.build_mask(make_layer([(1, "Polygon", [[[(9, 40), (13, 40), (13, 46), (9, 46), (9, 40)]]])]))
+    r = ramp(spark)
+    plan = raster.masked_tiles(r, m)
+    assert {t["position"] for t in raster._inside(spark.range(9).selectExpr("id div 3 as tile_r", "id % 3 as tile_c"), r.meta, m).collect()} == {"INSIDE"}
+    assert plan.join(r.tiles, ["band", "tile_r", "tile_c", "data"]).count() == 9
+
+
+def test_warp_of_sparse_tiles_and_gaps(spark):
+    """Pixels whose source tiles are absent are NULL, not missing; all blocks and bands are there."""
+    src = ramp(spark, 200, 200, epsg=32633, x0=500000.0, y0=4649776.0, d=10.0)
+    sparse = Raster(src.meta, src.tiles.filter("not (tile_r = 1 and tile_c = 1)"))
+    target = warp.target_meta(spark, src.meta, 4326)
+    whole, part = (warp.warp_pixels(spark, r, target) for r in (src, sparse))
+    assert part.count() == whole.count() == target.width * target.height
+    lost = whole.filter("v is not null").count() - part.filter("v is not null").count()
+    assert 3000 < lost < 4600
+    same = part.filter("v is not null").join(whole.withColumnRenamed("v", "w"), ["band", "r", "c"])
+    assert same.filter("abs(v - w) > 30").count() == 0
+
+
+def test_arrays_project_like_columns(spark):
+    from stratalake.functions import projection
+    import numpy as np
+    xs, ys = np.meshgrid(np.linspace(12.0, 18.0, 7), np.linspace(-70.0, 70.0, 9))
+    for src, dst in ((4326, 32633), (4326, 3857), (4326, 32733)):
+        x, y = projection.project_arrays(xs.ravel(), ys.ravel(), src, dst)
+        df = spark.createDataFrame(list(zip(range(63), xs.ravel().tolist(), ys.ravel().tolist())), "k int, x double, y double")
+        rows = projection.project_columns(df, "x", "y", src, dst).orderBy("k").collect()
+        assert max(abs(r["x"] - a) + abs(r["y"] - b) for r, a, b in zip(rows, x, y)) < 1e-6
+        bx, by = projection.project_arrays(x, y, dst, src)
+        assert np.abs(bx - xs.ravel()).max() < 1e-9 and np.abs(by - ys.ravel()).max() < 1e-9
 
 
 def test_mask_crop_and_no_overlap(spark, make_layer):
@@ -112,3 +205,10 @@ def test_one_band_becomes_band_one(spark):
     r = ramp(spark, 5, 5)
     two = Raster(replace(r.meta, bands=2), r.tiles.unionByName(r.tiles.withColumn("band", F.lit(2))))
     assert terrain.dem_grid(two.band(2)).count() == 25
+
+
+def test_missing_values_of_a_photo_have_no_colour(spark):
+    rows = [(1, 0, c, float("nan") if c == 1 else 100.0 * c) for c in range(3)]
+    photo = from_pixels(spark.createDataFrame(rows, "band int, r bigint, c bigint, v double"), RasterMeta("p", 4326, 0.0, 1.0, 1.0, 1.0, 3, 1))
+    got = {p["c"]: p["red"] for p in terrain.ortho_rgb(photo).collect()}
+    assert got == {0: 0, 1: None, 2: 255}
