@@ -352,8 +352,8 @@ def clip_polygons(layer: Layer, mask: Mask) -> Layer:
     cells prove inside at once, others when no piece of either outline says otherwise; only the rest is stitched."""
     key = layer.key[0]
     mask = mask.dissolved()
-    near = _candidates(layer, mask, G.POLYGONS)
-    shapes = materialize(near.filter("_position = 'BOUNDARY'").select(key, "geometry"))
+    near = materialize(_candidates(layer, mask, G.POLYGONS))  # read several times: what made the layer must not run again
+    shapes = near.filter("_position = 'BOUNDARY'").select(key, "geometry")
     found = overlay(shapes, key, mask)
     cut = stitch(found.pieces.join(found.changed, key, "left_semi"), key).select(key, F.col("geometry").alias("_clipped"))
     judged = (shapes.select(key).join(found.changed.withColumn("_changed", F.lit(True)), key, "left").join(cut, key, "left")
