@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from stratalake.functions import geometry as G
 from stratalake.operators.contacts import grid_of, self_contacts
 from stratalake.operators.layers import Layer
+from stratalake.operators.lineage import materialize
+from stratalake.operators.rings import circles, nesting_faults
 
 # Reason texts, in the order in which they are reported.
 REASONS = [
@@ -49,77 +51,28 @@ def _row_reason() -> Column:
     return (F.when(~G.is_present(g), 0).when(bad, 1).when(unclosed, 3).when(short_line | short_ring, 2))
 
 
-def _inside_rings(rings: Column, v: Column) -> Column:
-    """Strictly inside by even-odd parity over the rings and on none of their edges."""
-    segs = F.flatten(F.transform(rings, G.path_segments))
-    args = lambda s: (s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"], v["x"], v["y"])
-    odd = F.aggregate(segs, F.lit(False), lambda acc, s: acc != G.crosses_upward_ray(*args(s)))
-    return odd & ~F.exists(segs, lambda s: G.on_segment(*args(s)))
-
-
-def _outside_ring(ring: Column, v: Column) -> Column:
-    segs = G.path_segments(ring)
-    args = lambda s: (s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"], v["x"], v["y"])
-    odd = F.aggregate(segs, F.lit(False), lambda acc, s: acc != G.crosses_upward_ray(*args(s)))
-    return ~odd & ~F.exists(segs, lambda s: G.on_segment(*args(s)))
-
-
-def _boxed(rings: Column, i: Column) -> Column:
-    """A list of rings with its number and the box of the first."""
-    xs, ys = F.transform(rings[0], lambda v: v["x"]), F.transform(rings[0], lambda v: v["y"])
-    return F.named_struct(F.lit("i"), i, F.lit("rings"), rings, F.lit("x1"), F.array_min(xs), F.lit("x2"), F.array_max(xs),
-                          F.lit("y1"), F.array_min(ys), F.lit("y2"), F.array_max(ys))
-
-
-def _any_within(groups: Column) -> Column:
-    """True if the first ring of one of these lists of rings runs through the inside of another list.
+def _contact_faults(polygons: DataFrame, key: str, grid: float) -> DataFrame:
+    """Per feature the first fault found where ring segments meet: code and location.
 
-    Rings here meet in single points at most, so the middles of edges and the vertices tell.  Only lists whose boxes
-    meet are compared further.
+    The contacts are worked out once and stored, reduced to one row for each kind of fault and one for each place
+    where two rings of a part touch.  Rings that touch at two places, or in a circle of several rings, cut the
+    interior.
     """
-    boxed = F.transform(groups, _boxed)
-
-    def runs_through(own: Column, other: Column) -> Column:
-        meet = ((own["i"] != other["i"]) & (own["x1"] <= other["x2"]) & (other["x1"] <= own["x2"])
-                & (own["y1"] <= other["y2"]) & (other["y1"] <= own["y2"]))
-        middle = lambda s: F.named_struct(F.lit("x"), (s["a"]["x"] + s["b"]["x"]) / 2, F.lit("y"), (s["a"]["y"] + s["b"]["y"]) / 2)
-        return meet & F.exists(G.path_segments(own["rings"][0]), lambda s: _inside_rings(other["rings"], s["a"])
-                               | _inside_rings(other["rings"], middle(s)))
-
-    return F.exists(boxed, lambda own: F.exists(boxed, lambda other: runs_through(own, other)))
-
-
-def _nesting_reason() -> Column:
-    """Holes out of their shell or inside other holes, and parts inside other parts.  Only rows with holes or several
-    parts evaluate this."""
-    parts = F.col("geometry.parts")
-    has_holes = F.exists(parts, lambda rings: F.size(rings) > 1)
-    several_holes = F.exists(parts, lambda rings: F.size(rings) > 2)
-    holes = lambda rings: F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
-    stray_hole = F.exists(parts, lambda rings: F.exists(
-        holes(rings), lambda hole: F.exists(hole, lambda v: _outside_ring(rings[0], v))))
-    nested_holes = F.exists(parts, lambda rings: _any_within(F.transform(holes(rings), lambda h: F.array(h))))
-    return (F.when(has_holes & stray_hole, 7).when(several_holes & nested_holes, 8)
-             .when((F.size(parts) > 1) & _any_within(parts), 9))
-
-
-def _contact_faults(polygons: DataFrame, key: str, grid: float) -> DataFrame:
-    """Per feature the first fault found where ring segments meet: code and location."""
     hits = self_contacts(G.explode_segments(polygons, [key]), key, grid)
-    same_ring = (F.col("part_a") == F.col("part_b")) & (F.col("ring_a") == F.col("ring_b"))
     same_part = F.col("part_a") == F.col("part_b")
+    same_ring = same_part & (F.col("ring_a") == F.col("ring_b"))
     code = F.when(F.col("kind").isin("cross", "overlap"), 4).when(same_ring, 5)
-    rings = F.when(code.isNull() & same_part, F.struct("part_a", "ring_a", "ring_b"))
-    # Two rings of one part that touch at two places or more cut the interior.
-    at = hits.select(key, code.alias("code"), rings.alias("rings"), "px", "py")
-    place = F.struct("px", "py")
-    paired = at.groupBy(key, "rings").agg(
-        F.min(F.when(F.col("code").isNotNull(), F.struct("code", "px", "py"))).alias("met"),
-        F.min(place).alias("first"), F.max(place).alias("last"))
-    cut = F.when(F.col("rings").isNotNull() & (F.col("first") != F.col("last")),
-                 F.struct(F.lit(6).alias("code"), F.col("first.px").alias("px"), F.col("first.py").alias("py")))
-    return (paired.select(key, F.coalesce("met", cut).alias("_f")).filter(F.col("_f").isNotNull())
-            .groupBy(key).agg(F.min("_f").alias("_fault")))
+    touch = F.when(code.isNull() & same_part, F.struct(F.col("part_a").alias("part"), "ring_a", "ring_b", "px", "py"))
+    met = hits.select(key, code.alias("code"), touch.alias("touch"), F.struct("px", "py").alias("place"))
+    met = materialize(met.filter("code is not null or touch is not null")
+                      .groupBy(key, "code", "touch").agg(F.min("place").alias("place")))
+    fault = lambda code: F.struct(code.alias("code"), F.col("px"), F.col("py")).alias("_f")
+    touches = met.filter("touch is not null").select(key, "touch.*")
+    twice = (touches.groupBy(key, "part", "ring_a", "ring_b").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("px", "py")).alias("place"))
+             .filter("n > 1").select(key, "place.*").select(key, fault(F.lit(6))))
+    direct = met.filter("code is not null").select(key, "code", "place.*").select(key, fault(F.col("code"))).unionByName(twice)
+    found = circles(touches.join(direct.select(key), key, "left_anti"), key).select(key, fault(F.lit(6)))
+    return direct.unionByName(found).groupBy(key).agg(F.min("_f").alias("_fault"))
 
 
 def _reason_text(code: str) -> Column:
@@ -131,7 +84,7 @@ def with_validity(layer: Layer) -> DataFrame:
     """The layer with ``valid``, ``reason`` and the location ``reason_x, reason_y``.
 
     Row-local faults are found in place; only polygon rings without one take part in the segment
-    join, and only the faults it finds come back.
+    join, and only the faults it finds come back.  Rings of one feature are compared by joins too.
     """
     key = layer.key[0]
     df = layer.df.withColumn("_row", _row_reason())
@@ -142,8 +95,8 @@ def with_validity(layer: Layer) -> DataFrame:
     polygons = df.filter(F.col("_row").isNull() & _is_polygon()).select(key, "geometry")
     faults = _contact_faults(polygons, key, grid_of(layer.epsg))
     joined = df.join(faults, key, "left")
-    nesting = F.when(F.col("_row").isNull() & _is_polygon() & F.col("_fault").isNull(), _nesting_reason())
-    joined = joined.withColumn("_code", F.coalesce("_row", "_fault.code", nesting))
+    joined = joined.join(nesting_faults(polygons, key, stray=7, nested_holes=8, nested_shells=9), key, "left")
+    joined = joined.withColumn("_code", F.coalesce("_row", "_fault.code", "_nesting"))
     return joined.select(*layer.df.columns, F.col("_code").isNull().alias("valid"),
                          _reason_text("_code").alias("reason"),
                          F.col("_fault.px").alias("reason_x"), F.col("_fault.py").alias("reason_y"))
