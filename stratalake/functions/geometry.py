@@ -174,8 +174,11 @@ def explode_segments(df: DataFrame, keep: list[str], g: str = "geometry") -> Dat
     cell = F.coalesce(F.nullif(total * 2 / F.greatest(F.size(lengths), F.lit(1)), F.lit(0.0)), F.lit(1.0))
     cell = F.coalesce(F.col("seg_cell"), cell) if based else cell
     extra = ["seg_base", "seg_total"] if based else []
-    out = df.select(*keep, *extra, cell.alias("cell"), *(["part_base"] if parted else []),
-                    F.posexplode(F.col(g)["parts"]).alias("part", "_rings"))
+    # A generator of one row (see ``settle``): else the size would be worked out anew for every part.
+    once = F.struct(cell.alias("cell"), F.col(g)["parts"].alias("_parts"))
+    bases = [*extra, *(["part_base"] if parted else [])]
+    out = df.select(*keep, *bases, F.inline(F.array(once)))
+    out = out.select(*keep, *bases, "cell", F.posexplode("_parts").alias("part", "_rings"))
     if parted:
         out = out.withColumn("part", F.col("part") + F.coalesce("part_base", F.lit(0)))
     keep = [*keep, "cell"]
