@@ -1,7 +1,8 @@
-"""Where segments of one feature meet: an equi-join on (feature, grid cell) with exact predicates.
+"""Where segments of one feature meet, with exact predicates: pairs within the row for features of few segments,
+an equi-join on (feature, grid cell) for the others.
 
-A segment is listed in the cells it runs through, so a pair is only formed inside a shared cell and
-a long feature is spread over many tasks.  A contact is reported in the one cell that holds its
+In the join a segment is listed in the cells it runs through, so a pair is only formed inside a shared
+cell and a long feature is spread over many tasks.  A contact is reported in the one cell that holds its
 location, so no ``distinct`` is needed.
 """
 
@@ -11,8 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
+from stratalake.operators.lineage import materialize
 
 _PAD = 1e-6
+# Features of at most so many segments are paired within their row: 496 pairs.
+ROW_SEGMENTS = 32
+# So many keys of features that need the join are sent to every task; more are joined by shuffle.
+_BROADCAST_KEYS = 200_000
+_NAMES = ("part", "ring", "i", "n", "x1", "y1", "x2", "y2")
 
 
 def with_cells(segments: DataFrame) -> DataFrame:
@@ -109,19 +116,65 @@ def self_contacts(segments: DataFrame, key: str = "fid", grid: float = 1e9) -> D
     of neighbouring segments (spikes) are reported.
     """
     celled = with_cells(segments)
-    names = ["part", "ring", "i", "n", "x1", "y1", "x2", "y2"]
-    a = celled.select(key, "cx", "cy", "cell", *[F.col(c).alias(f"a_{c}") for c in names])
-    b = celled.select(key, "cx", "cy", *[F.col(c).alias(f"b_{c}") for c in names])
+    a = celled.select(key, "cx", "cy", "cell", *[F.col(c).alias(f"a_{c}") for c in _NAMES])
+    b = celled.select(key, "cx", "cy", *[F.col(c).alias(f"b_{c}") for c in _NAMES])
     c = F.col
     before = ((c("a_part") < c("b_part")) | ((c("a_part") == c("b_part")) & (
         (c("a_ring") < c("b_ring")) | ((c("a_ring") == c("b_ring")) & (c("a_i") < c("b_i"))))))
     pairs = a.join(b, [key, "cx", "cy"]).filter(before)
-    hits = with_hits(pairs, grid)
+    here = (F.floor(c("px") / c("cell")) == c("cx")) & (F.floor(c("py") / c("cell")) == c("cy"))
+    return _contacts(with_hits(pairs, grid).filter(here), key)
+
+
+def _contacts(hits: DataFrame, key: str) -> DataFrame:
+    """The hits that count as contacts, in the columns of ``self_contacts``."""
+    c = F.col
     same_path = (c("a_part") == c("b_part")) & (c("a_ring") == c("b_ring"))
     wraps = ((c("a_i") == 0) & (c("b_i") == c("b_n") - 1) & (c("a_x1") == c("b_x2")) & (c("a_y1") == c("b_y2")))
     neighbours = same_path & ((c("b_i") == c("a_i") + 1) | wraps)
-    here = (F.floor(c("px") / c("cell")) == c("cx")) & (F.floor(c("py") / c("cell")) == c("cy"))
-    return hits.filter(here & ~(neighbours & (c("kind") != "overlap"))).select(
+    return hits.filter(~(neighbours & (c("kind") != "overlap"))).select(
         key, *[c(f"{s}_{n}").alias(f"{n}_{s}") for s in "ab" for n in ("part", "ring", "i", "n")],
         "kind", "px", "py", "ta", "tb",
         *[c(f"{s}_{n}").alias(f"{n}_{s}") for s in "ab" for n in ("x1", "y1", "x2", "y2")])
+
+
+def _row_pairs(features: DataFrame, key: str) -> DataFrame:
+    """``key, a_part .. a_y2, b_part .. b_y2``: every two segments of a row, the earlier as ``a``."""
+    based, parted = "seg_base" in features.columns, "part_base" in features.columns
+    paths = F.col("geometry.parts")
+    paths = paths if based else F.transform(paths, lambda rings: F.transform(rings, G.without_repeats))
+    part_base = F.coalesce("part_base", F.lit(0)) if parted else F.lit(0)
+    base = F.coalesce("seg_base", F.lit(0)).cast("long") if based else F.lit(0).cast("long")
+    total = F.col("seg_total") if based else F.lit(None).cast("long")
+
+    def of(path, p, r):
+        n = F.coalesce(total, F.greatest(F.size(path) - 1, F.lit(0)).cast("long"))
+        values = lambda s, i: (p + part_base, r, i.cast("long") + base, n, s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"])
+        return F.transform(G.path_segments(path), lambda s, i: F.struct(*[v.alias(c) for v, c in zip(values(s, i), _NAMES)]))
+    listed = F.flatten(F.flatten(F.transform("_paths", lambda rings, p: F.transform(rings, lambda path, r: of(path, p, r)))))
+    # Generators of one row (see ``G.settle``): each list is made once.
+    once = features.select(key, *[c for c in ("seg_base", "seg_total", "part_base") if c in features.columns],
+                           F.inline(F.array(F.struct(paths.alias("_paths")))))
+    once = once.select(key, F.inline(F.array(F.struct(listed.alias("_segs")))))
+    first = once.select(key, "_segs", F.posexplode("_segs").alias("_k", "a"))
+    both = first.select(key, "a", F.explode(F.slice("_segs", F.col("_k") + 2, F.size("_segs"))).alias("b"))
+    return both.select(key, *[F.col(f"{s}.{n}").alias(f"{s}_{n}") for s in "ab" for n in _NAMES])
+
+
+def feature_contacts(features: DataFrame, key: str, grid: float = 1e9) -> DataFrame:
+    """``self_contacts`` of the features ``key, geometry`` and, where stored, the columns that place a row in its path.
+
+    A feature in one row of at most ``ROW_SEGMENTS`` segments is paired there, with no shuffle.  Those with more,
+    in several rows, or under a key that repeats are paired by the join.
+    """
+    features = features.filter(F.col(key).isNotNull()).select(
+        key, "geometry", *[c for c in ("seg_base", "seg_total", "seg_cell", "part_base") if c in features.columns])
+    size = F.aggregate(F.flatten("geometry.parts"), F.lit(0), lambda n, path: n + F.greatest(F.size(path) - 1, F.lit(0)))
+    apart = materialize(features.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.max(size).alias("_size"))
+                        .filter(f"_rows > 1 or _size > {ROW_SEGMENTS}").select(key))
+    n_apart = apart.count()
+    if n_apart == 0:
+        return _contacts(with_hits(_row_pairs(features, key), grid), key)
+    apart = F.broadcast(apart) if n_apart <= _BROADCAST_KEYS else apart
+    short = _contacts(with_hits(_row_pairs(features.join(apart, key, "left_anti"), key), grid), key)
+    return self_contacts(G.explode_segments(features.join(apart, key, "left_semi"), [key]), key, grid).unionByName(short)

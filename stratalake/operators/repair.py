@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
 from stratalake.functions.rings import stitch_batches
-from stratalake.operators.contacts import grid_of, self_contacts
+from stratalake.operators.contacts import feature_contacts, grid_of
 from stratalake.operators.layers import Layer, union_all, with_kinds
 from stratalake.operators.lineage import materialize
 from stratalake.operators.noding import node_lines
@@ -90,20 +90,22 @@ def repaired_pieces(invalid: DataFrame, key: str, grid: float = 1e9) -> DataFram
         F.transform(rings, close), lambda r: F.size(r) >= 4))
     closed = invalid.select(key, G.geometry(F.lit("Polygon"), parts).alias("geometry"))
     segments = G.explode_segments(closed, [key])
-    pieces = split_segments(segments, self_contacts(segments, key, grid), key)
+    pieces = split_segments(segments, feature_contacts(closed, key, grid), key)
     return direct_pieces(cancel_doubled(pieces, key), key)
 
 
-def repair_polygons(layer: Layer) -> Layer:
+def repair_polygons(layer: Layer, broken: DataFrame | None = None) -> Layer:
     """Replace invalid polygons by their even-odd fill; every other row is kept as it is.  A polygon whose
     fill is empty (collapsed rings) gets a NULL geometry.
 
     The invalid polygons alone are checkpointed: the steps that follow read them several times and
-    must not repeat the search for them.
+    must not repeat the search for them.  Where they are known already, ``broken`` gives them as ``key, geometry``.
     """
     key = layer.key[0]
-    polygons = layer.with_df(layer.df.filter(F.col("geometry.type").isin(*G.POLYGONS)).select(*layer.key, "geometry"))
-    broken = materialize(with_validity(polygons).filter(~F.col("valid")).select(key, "geometry"))
+    if broken is None:
+        polygons = layer.with_df(layer.df.filter(F.col("geometry.type").isin(*G.POLYGONS)).select(*layer.key, "geometry"))
+        broken = with_validity(polygons).filter(~F.col("valid")).select(key, "geometry")
+    broken = materialize(broken)
     fixed = stitch(repaired_pieces(broken, key, grid_of(layer.epsg)), key).withColumnRenamed("geometry", "_fixed")
     mended = broken.select(key).distinct().withColumn("_broken", F.lit(True)).join(fixed, key, "left")
     out = layer.df.join(mended, key, "left").withColumn("geometry", F.when(
@@ -111,12 +113,12 @@ def repair_polygons(layer: Layer) -> Layer:
     return layer.with_df(out.select(*layer.df.columns))
 
 
-def repair_layer(layer: Layer, drop_null: bool = True) -> Layer:
+def repair_layer(layer: Layer, drop_null: bool = True, broken: DataFrame | None = None) -> Layer:
     """Drop missing geometries, repair polygons, node self-crossing lines; steps for kinds the layer
     is known not to hold are left out."""
     layer = drop_missing(layer) if drop_null else layer
     if layer.may_hold("polygon"):
-        layer = repair_polygons(layer)
+        layer = repair_polygons(layer, broken)
         layer = drop_missing(layer) if drop_null else layer
     if layer.may_hold("line"):
         layer = node_lines(layer)
@@ -124,16 +126,23 @@ def repair_layer(layer: Layer, drop_null: bool = True) -> Layer:
 
 
 def repair_report(layer: Layer) -> DataFrame:
-    """One row: rows before, missing rows dropped, invalid rows, self-crossing lines, rate after."""
+    """One row: rows before, missing rows dropped, invalid rows, self-crossing lines, rate after.
+
+    The rows are stored with their validity: it is counted, and tells which polygons to repair.
+    """
+    flagged = materialize(with_validity(layer))
+    layer = layer.with_df(flagged.select(*layer.df.columns))
     present = drop_missing(layer)
-    flagged = with_validity(layer)
     before = flagged.agg(
         F.count(F.lit(1)).alias("rows_before"),
         F.count_if(F.col("reason") == "Null geometry").alias("n_dropped"),
         F.count_if(~F.col("valid") & (F.col("reason") != "Null geometry")).alias("n_invalid"))
     crossing = (line_faults(present).agg(F.count_if(~F.col("simple")).alias("n_crossing")).scalar()
                 if layer.may_hold("line") else F.lit(0).cast("long"))
-    after = validity_rate(repair_layer(layer))
+    broken = flagged.filter(~F.col("valid") & G.is_present("geometry") & F.col("geometry.type").isin(*G.POLYGONS))
+    fixed = repair_layer(layer, broken=broken.select(layer.key[0], "geometry"))
+    # Validity reads the repaired rows several times; unstored, each time would repair them again.
+    after = validity_rate(fixed.with_df(materialize(fixed.df)))
     return before.select(
         F.lit(layer.name).alias("layer"), "rows_before", "n_dropped", "n_invalid",
         crossing.alias("n_crossing"), after.select("rate").scalar().alias("rate_after"))

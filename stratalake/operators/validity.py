@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
-from stratalake.operators.contacts import grid_of, self_contacts
+from stratalake.operators.contacts import feature_contacts, grid_of
 from stratalake.operators.layers import Layer
 from stratalake.operators.lineage import materialize
 from stratalake.operators.rings import circles, nesting_faults
@@ -58,7 +58,7 @@ def _contact_faults(polygons: DataFrame, key: str, grid: float) -> DataFrame:
     where two rings of a part touch.  Rings that touch at two places, or in a circle of several rings, cut the
     interior.
     """
-    hits = self_contacts(G.explode_segments(polygons, [key]), key, grid)
+    hits = feature_contacts(polygons, key, grid)
     same_part = F.col("part_a") == F.col("part_b")
     same_ring = same_part & (F.col("ring_a") == F.col("ring_b"))
     code = F.when(F.col("kind").isin("cross", "overlap"), 4).when(same_ring, 5)
@@ -92,7 +92,8 @@ def with_validity(layer: Layer) -> DataFrame:
         none = F.lit(None).cast("double")
         return df.select(*layer.df.columns, F.col("_row").isNull().alias("valid"), _reason_text("_row").alias("reason"),
                          none.alias("reason_x"), none.alias("reason_y"))
-    polygons = df.filter(F.col("_row").isNull() & _is_polygon()).select(key, "geometry")
+    # Dealt by key, which the contacts group by: a small file of many rows would be searched by one or two tasks.
+    polygons = df.filter(F.col("_row").isNull() & _is_polygon()).select(key, "geometry").repartition(key)
     faults = _contact_faults(polygons, key, grid_of(layer.epsg))
     joined = df.join(faults, key, "left")
     joined = joined.join(nesting_faults(polygons, key, stray=7, nested_holes=8, nested_shells=9), key, "left")
@@ -115,7 +116,7 @@ def line_faults(layer: Layer) -> DataFrame:
     """
     key = layer.key[0]
     lines = layer.df.filter(G.is_present("geometry") & _is_line())
-    hits = self_contacts(G.explode_segments(lines, [key]), key, grid_of(layer.epsg))
+    hits = feature_contacts(lines, key, grid_of(layer.epsg))
     c = F.col
     end_a = ((c("i_a") == 0) & (c("ta") == 0)) | ((c("i_a") == c("n_a") - 1) & (c("ta") == 1))
     end_b = ((c("i_b") == 0) & (c("tb") == 0)) | ((c("i_b") == c("n_b") - 1) & (c("tb") == 1))
