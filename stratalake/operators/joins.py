@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+# Rows of one task where a step sorts them several times.
+TASK_ROWS = 250_000
+
+
+def spread(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by ``keys`` into tasks of about ``TASK_ROWS`` rows, at least one for a core.
+
+    Without the number, adaptive execution joins partitions up to a size in compressed bytes, which steps that
+    widen and sort the rows turn into many times as much memory.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+
+
 def skew_join(probe: DataFrame, build: DataFrame, keys: list[str], how: str = "inner",
               share: float = 1 / 256, fanout: int = 64) -> DataFrame:
     """Equi-join that spreads every hot key of ``probe`` over ``fanout`` tasks.

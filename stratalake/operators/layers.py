@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
+from stratalake.operators.joins import spread
 
 # Longest stretch of one path held in one row; longer paths continue in further rows.
 PATH_ROWS = 65536
@@ -84,8 +85,10 @@ def path_vertices(df: DataFrame, key: str, order: list[str], x: str = "x", y: st
     with the mean distance between neighbours as ``step``.
 
     All windows share one partitioning and order, so this is one shuffle; the sort and the window
-    frames spill to disk, so a very long path costs time but not memory.
+    frames spill to disk, so a very long path costs time but not memory.  The rows are counted beforehand,
+    so that the rows of a task do not grow with the table.
     """
+    df = spread(df, [key], df.count())
     along = Window.partitionBy(key).orderBy(*order)
     whole = Window.partitionBy(key)
     kept = (df.withColumns({"_px": F.lag(x).over(along), "_py": F.lag(y).over(along)})

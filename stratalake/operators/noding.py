@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
-from stratalake.operators.contacts import grid_of, self_contacts
+from stratalake.operators.contacts import feature_contacts, grid_of
+from stratalake.operators.joins import spread
 from stratalake.operators.layers import Layer
 from stratalake.operators.lineage import materialize
 
@@ -20,16 +21,21 @@ def _stretches(layer: Layer) -> tuple[DataFrame, DataFrame]:
     df = layer.df.filter(G.is_present("geometry") & F.col("geometry.type").isin(*G.LINES))
     df = df.withColumn(_ROWKEY, F.col("seq") if "seq" in df.columns else F.lit(0).cast("long"))
     segments = G.explode_segments(df, [key, _ROWKEY])
-    hits = self_contacts(segments.drop(_ROWKEY), key, grid_of(layer.epsg))
+    hits = feature_contacts(df, key, grid_of(layer.epsg))
     at = hits.select(key, F.inline(F.array(
-        F.struct(F.col("part_a").alias("part"), F.col("i_a").alias("i"), F.col("ta").alias("t"), "px", "py"),
-        F.struct(F.col("part_b").alias("part"), F.col("i_b").alias("i"), F.col("tb").alias("t"), "px", "py"))))
+        F.struct(F.col("part_a").alias("part"), F.col("i_a").alias("i"), F.col("n_a").alias("n"), F.col("ta").alias("t"), "px", "py"),
+        F.struct(F.col("part_b").alias("part"), F.col("i_b").alias("i"), F.col("n_b").alias("n"), F.col("tb").alias("t"), "px", "py"))))
     nodes = (at.groupBy(key, "part", "i")
-             .agg(F.array_sort(F.collect_set(F.struct("t", "px", "py"))).alias("nodes")))
+             .agg(F.array_sort(F.collect_set(F.struct("t", "px", "py"))).alias("nodes"), F.max("n").alias("_n")))
     # The places found are few and read twice; searching for them again would cost another join.
     nodes = materialize(nodes)
     crossing = nodes.select(key).distinct()
-    cut = (segments.join(crossing, key, "left_semi").join(nodes, [key, "part", "i"], "left"))
+    # About so many pieces: the segments of the paths that cross and the places on them.
+    rows = (nodes.groupBy(key, "part").agg((F.max("_n") + F.sum(F.size("nodes"))).alias("_rows"))
+            .agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0])
+    place = [key, "part", "i"]
+    cut = (spread(segments.join(crossing, key, "left_semi"), place, rows)
+           .join(spread(nodes.drop("_n"), place, rows), place, "left"))
     mid = F.filter(F.coalesce("nodes", F.array().cast("array<struct<t:double,px:double,py:double>>")),
                    lambda n: (n["t"] > 0) & (n["t"] < 1))
     at_start = F.exists(F.coalesce("nodes", F.array().cast("array<struct<t:double,px:double,py:double>>")),
@@ -51,6 +57,7 @@ def _stretches(layer: Layer) -> tuple[DataFrame, DataFrame]:
         ((F.col("k") > 0) | F.col("_node_start")).alias("_breaks"),
         ((F.col("k") < F.col("_m") - 1) | F.col("_node_end")).alias("_ends"))
     pieces = pieces.filter((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by")))
+    pieces = spread(pieces, [key], rows)
     along = Window.partitionBy(key).orderBy("part", "i", "t0")
     fresh = (F.lag("part").over(along).isNull() | (F.lag("part").over(along) != F.col("part"))
              | F.col("_breaks") | F.lag("_ends").over(along))

@@ -1,11 +1,12 @@
-"""Contacts within rows and by the join, a report that looks for faults once."""
+"""Contacts within rows and by the join, tasks of bounded rows, a report that looks for faults once."""
 
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratalake.functions import geometry as G
-from stratalake.operators import contacts, repair, validity
+from stratalake.operators import contacts, joins, layers, noding, repair, validity
 from tests.layer_cases import BOWTIE, SQUARE
 
 
@@ -36,6 +37,19 @@ def test_short_features_are_not_joined(make_layer):
     assert "Join" not in faults._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_of_a_task_do_not_grow(spark, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_ROWS", 100)
+    points = spark.range(4000).select(F.floor(F.col("id") / 4).alias("fid"), (F.col("id") % 4).alias("k"))
+    shape = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in [(0, 0), (2, 2), (2, 0), (0, 2)]])
+    points = points.withColumn("_v", F.get(shape, F.col("k"))).select("fid", "k", "_v.x", "_v.y")
+    numbered = layers.path_vertices(points, "fid", ["k"])
+    tasks = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 30 and sum(tasks) == 4000
+    runs, _ = noding.noded_runs(layers.Layer("lines", layers.assemble_paths(numbered), 4326, ("fid", "seq"), frozenset({"line"})))
+    tasks = [r["count"] for r in runs.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 30 and sum(tasks) == 3000
+
+
 def test_the_report_looks_for_faults_once(make_layer, monkeypatch):
     calls = []
     monkeypatch.setattr(repair, "with_validity", lambda layer: calls.append(1) or validity.with_validity(layer))
