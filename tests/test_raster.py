@@ -1,8 +1,12 @@
+import math
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.functions import tiles
 from stratalake.operators import joins, mask, raster, terrain, warp
 from stratalake.operators.raster import Raster, RasterMeta, from_pixels, pixels
 
@@ -180,6 +184,76 @@ def test_warp_keeps_a_smooth_field(spark):
     assert 0 <= mid[0] < 10 and 485 < mid[1] <= 495 and mid[2] > 9000
 
 
+def exact_needs(blocks, block):
+    """Source tiles that the neighbours of a block's covered pixels lie in, from every pixel."""
+    fr, fc, covered = blocks.back(block)
+    found = set()
+    for r, c in zip(np.floor(fr[covered]).astype(int).tolist(), np.floor(fc[covered]).astype(int).tolist()):
+        found |= {(i // tiles.TILE, j // tiles.TILE) for i in (r, r + 1) for j in (c, c + 1)
+                  if 0 <= i < blocks.source.height and 0 <= j < blocks.source.width}
+    return found
+
+
+@pytest.mark.parametrize("source, target, edge", [
+    (RasterMeta("narrow", 32642, 400000.0, 3970000.0, 5000.0, 2.0, 20, 5000), RasterMeta("t", 4326, 67.8, 35.87, 5e-4, 5e-4, 2300, 200), 512),
+    (RasterMeta("wide", 32642, 300000.0, 3970000.0, 700.0, 900.0, 400, 300), RasterMeta("t", 4326, 66.5, 36.2, 0.02, 0.02, 250, 200), 64),
+    (RasterMeta("part of the globe", 32642, 300000.0, 3970000.0, 700.0, 900.0, 400, 300), RasterMeta("t", 4326, -180.0, 90.0, 1.0, 1.0, 360, 180), 128),
+    (RasterMeta("degrees", 4326, 60.0, 40.0, 0.01, 0.01, 900, 700), RasterMeta("t", 32642, 0.0, 4500000.0, 4000.0, 3000.0, 200, 300), 64),
+    (RasterMeta("mercator", 3857, 7000000.0, 4500000.0, 900.0, 900.0, 500, 400), RasterMeta("t", 4326, 61.0, 38.0, 0.01, 0.01, 500, 300), 64)],
+    ids=lambda m: getattr(m, "raster", None))
+def test_few_pixels_find_all_tiles_of_a_block(monkeypatch, source, target, edge):
+    blocks = tiles.WarpBlocks(source, target, edge)
+    want = {(k, *t) for k in range(blocks.count) for t in exact_needs(blocks, k)}
+    projected, project = [], tiles.project_arrays
+
+    def counting(x, y, *codes):
+        projected.append(np.broadcast(x, y).size)
+        return project(x, y, *codes)
+
+    monkeypatch.setattr(tiles, "project_arrays", counting)
+    (found,) = blocks.needs([pa.RecordBatch.from_arrays([pa.array(range(blocks.count))], names=["id"])])
+    rows = [tuple(r.values()) for r in found.to_pylist()]
+    got = {r for r in rows if r[1] is not None}
+    assert want and want <= got and {r[0] for r in rows} == set(range(blocks.count)) and len(rows) == len(set(rows))
+    assert all(0 <= r < math.ceil(source.height / tiles.TILE) and 0 <= c < math.ceil(source.width / tiles.TILE) for _, r, c in got)
+    assert sum(projected) <= target.width * target.height / 16
+
+
+def test_blocks_are_not_put_into_few_tasks(spark):
+    """What a block reads says little about its pixels: tasks must not be joined by the bytes they read."""
+    meta = RasterMeta("narrow", 32642, 400000.0, 3970000.0, 5000.0, 20.0, 20, 5000)
+    src = from_pixels(spark.range(100_000).select(F.lit(1).alias("band"), F.floor(F.col("id") / 20).alias("r"), (F.col("id") % 20).alias("c"),
+                                                  F.col("id").cast("double").alias("v")), meta)
+    out = warp.warp_tiles(spark, src, warp.target_meta(spark, meta, 4326))
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_a_block_is_the_weighted_mean_of_neighbours_present():
+    rng = np.random.default_rng(5)
+    source = RasterMeta("s", 32642, 300000.0, 3970000.0, 700.0, 900.0, 100, 90, 2)
+    target = RasterMeta("t", 4326, 66.7, 35.9, 0.008, 0.008, 150, 110, 2)
+    image = rng.random((2, 90, 100))
+    image[rng.random(image.shape) < 0.3] = np.nan
+    blocks = tiles.WarpBlocks(source, target, 128)
+    for block in range(blocks.count):
+        (needs,) = blocks.needs([pa.RecordBatch.from_arrays([pa.array([block])], names=["id"])])
+        parts = [(band + 1, r * 64, c * 64, image[band, r * 64:r * 64 + 64, c * 64:c * 64 + 64]) for _, r, c in map(dict.values, needs.to_pylist())
+                 if r is not None for band in (0, 1)] or [(None, None, None, np.zeros((0, 0)))]
+        table = pa.table({"band": [p[0] for p in parts], "r0": [p[1] for p in parts], "c0": [p[2] for p in parts], "h": [p[3].shape[0] for p in parts],
+                          "w": [p[3].shape[1] for p in parts], "data": tiles.list_column([p[3] for p in parts])})
+        fr, fc, covered = blocks.back(block)
+        first_r, first_c, h, w = blocks.place(block)
+        got = np.full((2, h, w), np.inf)
+        for band, r0, c0, th, tw, data in zip(*blocks.warp([pa.scalar(block)], table).select(["band", "r0", "c0", "h", "w", "data"]).to_pydict().values()):
+            got[band - 1, r0 - first_r:r0 - first_r + th, c0 - first_c:c0 - first_c + tw] = np.array(data, float).reshape(th, tw)
+        for band, i, j in np.ndindex(2, h, w):
+            near = [] if not covered[i, j] else [(abs(1 - dr - (fr[i, j] - r)) * abs(1 - dc - (fc[i, j] - c)), image[band, r + dr, c + dc])
+                    for r, c in [(math.floor(fr[i, j]), math.floor(fc[i, j]))] for dr in (0, 1) for dc in (0, 1) if 0 <= r + dr < 90 and 0 <= c + dc < 100]
+            near = [(p, v) for p, v in near if not np.isnan(v)]
+            weight = sum(p for p, _ in near)
+            assert np.isnan(got[band, i, j]) if not weight else math.isclose(got[band, i, j], sum(p * v for p, v in near) / weight, rel_tol=1e-9)
+
+
 def test_terrain_guards_and_flat_grid(spark, make_layer):
     flat = Raster(ramp(spark, 5, 5).meta, ramp(spark, 5, 5).tiles.withColumn("data", F.transform("data", lambda v: F.lit(7.0))))
     assert terrain.terrain_mesh(flat).filter("z <> 0").count() == 0
